@@ -1,0 +1,29 @@
+"""Column functions: change ratio, money text and the label indent."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, functions as F
+
+
+def change_ratio(current: Column, previous: Column, missing: float | None = 0.0) -> Column:
+    """``(current - previous) / previous`` as a fraction, not a percentage.
+
+    The difference is taken in exact decimals, the quotient in double. A missing side
+    or a zero base gives ``missing``; pass None to tell those cases from "no change".
+    A negative base flips the sign of the result, as the plain formula does.
+    """
+    ratio = F.try_divide((current - previous).cast("double"), previous.cast("double"))
+    return ratio if missing is None else F.coalesce(ratio, F.lit(missing))
+
+
+def format_money(amount: Column, digits: int = 2) -> Column:
+    """Text with thousands separators and fixed decimals; NULL stays NULL.
+
+    ``format_number`` alone rounds half to even, so the half-up rounding comes first.
+    """
+    return F.format_number(F.round(amount, digits), digits)
+
+
+def indent(label: Column) -> Column:
+    """Detail lines are printed two spaces in from totals and captions."""
+    return F.concat(F.lit("  "), label)

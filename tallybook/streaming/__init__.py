@@ -1,0 +1 @@
+"""Empty on purpose: the reports are batch jobs over closed periods and use no stream."""

@@ -1,0 +1,32 @@
+"""Every registered query against its oracle on the given tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tests.compare import assert_same
+
+SF_DIR = "/root/testdata/sf0.01"
+QUERIES = contract.queries()
+ORACLES = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in ("orders", "lineitem", "supplier"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+@pytest.mark.parametrize("key", QUERIES)
+def test_query(spark, duck, key):
+    assert assert_same(QUERIES[key](spark, SF_DIR), duck, ORACLES[key]) > 0
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() == 35
