@@ -6,6 +6,7 @@ so that another chart of lines needs another ``Chart`` and no other change.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 
@@ -89,3 +90,15 @@ STANDARD = Chart(
     ),
     margin=Ratio("400", "Gross Margin Ratio %", numerator=7, denominator=1),
 )
+
+
+def listed(values: Iterable[int]) -> str:
+    """The numbers as the inside of an SQL IN list."""
+    return ", ".join(str(int(v)) for v in values)
+
+
+def order_in(orders: Sequence[int] | None) -> str:
+    """The SQL condition that a section order is one of ``orders`` (None = any)."""
+    if orders is None:
+        return "true"
+    return f"statement_section_order IN ({listed(orders)})" if orders else "false"

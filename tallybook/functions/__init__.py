@@ -1,5 +1,9 @@
-"""Column functions shared by the operators."""
+"""Expressions shared by the operators.
 
-from tallybook.functions.columns import change_ratio, format_money, indent
+Each function takes and returns SQL expression text, for ``selectExpr`` or ``F.expr``.
+"""
 
-__all__ = ["change_ratio", "format_money", "indent"]
+from tallybook.functions.money import change_ratio, exact_sum, format_money, indent
+from tallybook.functions.text import quoted, row
+
+__all__ = ["change_ratio", "exact_sum", "format_money", "indent", "quoted", "row"]

@@ -9,21 +9,17 @@ accounts x years rows: all later joins and shuffles work on that.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallybook import schema
-from tallybook.chart import STANDARD, Chart
+from tallybook.chart import STANDARD, Chart, listed, order_in
+from tallybook.functions import exact_sum, row
+from tallybook.schema import AMOUNT, MONEY, SECTION_BALANCE
 from tallybook.sources.ledger import Ledger
 
-_KEYS = [
-    "is_balance_sheet_section",
-    "company_id",
-    "year",
-    "statement_section_order",
-    "statement_section",
-]
+_KEYS = [name for name in SECTION_BALANCE if name != "balance"]
+_NET = "coalesce(debit, 0) - coalesce(credit, 0)"
+_PL_LINK = "nullif(profit_loss_section_id, 0)"
 
 
 def posted_lines(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
@@ -33,47 +29,40 @@ def posted_lines(ledger: Ledger, years: Sequence[int] | None = None) -> DataFram
     broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
     execution splits an entry that holds a large share of the lines.
     """
-    live = ledger.entry.where(F.col("cancelled") == 0)
+    live = "cancelled = 0"
     if years is not None:
         # The date range reaches the file scan, which year(entry_date) would not.
-        live = live.where(
-            F.col("entry_date").between(date(min(years), 1, 1), date(max(years), 12, 31))
+        live += (
+            f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
+            f" AND year(entry_date) IN ({listed(years)})"
         )
-    live = live.select("journal_entry_id", F.year("entry_date").alias("year"))
-    if years is not None:
-        live = live.where(F.col("year").isin(list(years)))
-    joined = ledger.line.join(live, "journal_entry_id").drop("journal_entry_id")
-    return ledger.postings(joined).select("account_id", "year", "debit", "credit")
+    entry = ledger.entry.where(live).selectExpr("journal_entry_id", "year(entry_date) AS year")
+    joined = ledger.line.join(entry, "journal_entry_id")
+    return ledger.postings(joined).selectExpr(
+        "account_id",
+        "year",
+        f"CAST(debit AS {AMOUNT}) AS debit",
+        f"CAST(credit AS {AMOUNT}) AS credit",
+    )
 
 
 def account_totals(posted: DataFrame) -> DataFrame:
     """Debit and credit per (account, year); a side without any amount is NULL."""
     return posted.groupBy("account_id", "year").agg(
-        F.sum("debit").alias("debit"), F.sum("credit").alias("credit")
+        F.expr(exact_sum("debit")).alias("debit"), F.expr(exact_sum("credit")).alias("credit")
     )
 
 
-def _net() -> Column:
-    zero = F.lit(0)
-    return F.coalesce(F.col("debit"), zero) - F.coalesce(F.col("credit"), zero)
-
-
-def _signed_debit(debit: Column, chart: Chart) -> Column:
+def _signed_debit(chart: Chart) -> str:
     """Income is positive and expense negative; an order that is neither has no balance."""
-    amount, order = F.coalesce(debit, F.lit(0)), F.col("statement_section_order")
-    return F.when(order.isin(*chart.income), amount).when(order.isin(*chart.expense), -amount)
-
-
-def _pl_link() -> Column:
-    return F.when(F.col("profit_loss_section_id") != 0, F.col("profit_loss_section_id"))
-
-
-def _link(is_pl: bool, section_id: Column) -> Column:
-    return F.struct(F.lit(is_pl).alias("is_pl"), section_id.alias("statement_section_id"))
+    return (
+        f"CASE WHEN {order_in(chart.income)} THEN coalesce(debit, 0) "
+        f"WHEN {order_in(chart.expense)} THEN -coalesce(debit, 0) END"
+    )
 
 
-def _balances(df: DataFrame, balance: Column) -> DataFrame:
-    return schema.conform(df.withColumn("balance", balance), schema.SECTION_BALANCE)
+def _balances(summed: DataFrame, balance: str) -> DataFrame:
+    return summed.selectExpr(*_KEYS, f"CAST({balance} AS {MONEY}) AS balance")
 
 
 def pl_section_balance(
@@ -84,31 +73,30 @@ def pl_section_balance(
     Only debits count, for income and expense alike. The flag is the section's own: an
     account whose P&L link points to a balance-sheet section is carried with flag 1.
     """
-    link = ledger.account.select("account_id", _pl_link().alias("statement_section_id"))
+    links = ledger.account.selectExpr("account_id", f"{_PL_LINK} AS statement_section_id")
     summed = (
         account_totals(posted_lines(ledger, years))
-        .join(link, "account_id")
+        .join(links, "account_id")
         .join(ledger.section, "statement_section_id")
         .groupBy(*_KEYS)
-        .agg(F.sum("debit").alias("debit"))
+        .agg(F.expr("sum(debit) AS debit"))
     )
-    return _balances(summed, _signed_debit(F.col("debit"), chart))
+    return _balances(summed, _signed_debit(chart))
 
 
 def bs_section_balance(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
     """Balance-sheet balances, debit minus credit, of sections with a non-zero order."""
-    link = ledger.account.select(
-        "account_id", F.col("balance_sheet_section_id").alias("statement_section_id")
+    links = ledger.account.selectExpr(
+        "account_id", "balance_sheet_section_id AS statement_section_id"
     )
     summed = (
         account_totals(posted_lines(ledger, years))
-        .withColumn("net", _net())
-        .join(link, "account_id")
-        .join(ledger.section.where(F.col("statement_section_order") != 0), "statement_section_id")
+        .join(links, "account_id")
+        .join(ledger.section.where("statement_section_order != 0"), "statement_section_id")
         .groupBy(*_KEYS)
-        .agg(F.sum("net").alias("net"))
+        .agg(F.expr(f"sum({_NET}) AS net"))
     )
-    return _balances(summed, F.col("net"))
+    return _balances(summed, "net")
 
 
 def build_section_balance(
@@ -120,32 +108,26 @@ def build_section_balance(
     kinds side by side. A section reached through both links yields two rows that differ
     in ``balance`` only, or one row if the balances are equal.
     """
-    links = ledger.account.select(
-        "account_id",
-        F.inline(
-            F.array(_link(True, _pl_link()), _link(False, F.col("balance_sheet_section_id")))
-        ),
-    ).where(F.col("statement_section_id").isNotNull())
-    is_pl = F.col("is_pl")
+    pl = row(is_pl="true", statement_section_id=_PL_LINK)
+    bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
+    links = ledger.account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
     summed = (
         account_totals(posted_lines(ledger, years))
-        .withColumn("net", _net())
         .join(links, "account_id")
         .join(ledger.section, "statement_section_id")
-        .where(is_pl | (F.col("statement_section_order") != 0))
+        .where("is_pl OR statement_section_order != 0")
         .groupBy(*_KEYS)
         .agg(
-            F.sum(F.when(is_pl, F.col("debit"))).alias("debit"),
-            F.sum(F.when(~is_pl, F.col("net"))).alias("net"),
-            F.bool_or(is_pl).alias("has_pl"),
-            F.bool_or(~is_pl).alias("has_bs"),
+            F.expr("sum(debit) FILTER (WHERE is_pl) AS debit"),
+            F.expr(f"sum({_NET}) FILTER (WHERE NOT is_pl) AS net"),
+            F.expr("bool_or(is_pl) AS has_pl"),
+            F.expr("bool_and(is_pl) AS only_pl"),
         )
     )
-    pl = _signed_debit(F.col("debit"), chart).cast(schema.MONEY)
-    bs = F.col("net").cast(schema.MONEY)
-    balances = (
-        F.when(~F.col("has_bs"), F.array(pl))
-        .when(~F.col("has_pl"), F.array(bs))
-        .otherwise(F.array_distinct(F.array(pl, bs)))
+    pl_balance, bs_balance = (f"CAST({b} AS {MONEY})" for b in (_signed_debit(chart), "net"))
+    return summed.selectExpr(
+        *_KEYS,
+        f"explode(CASE WHEN only_pl THEN array({pl_balance}) "
+        f"WHEN NOT has_pl THEN array({bs_balance}) "
+        f"ELSE array_distinct(array({pl_balance}, {bs_balance})) END) AS balance",
     )
-    return _balances(summed.withColumn("balance", F.explode(balances)), F.col("balance"))

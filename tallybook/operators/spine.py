@@ -2,33 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallybook.chart import STANDARD, Chart, Statement
-from tallybook.functions import indent
+from tallybook.functions import indent, quoted, row
 from tallybook.schema import LINE_ORDER
 
 
-def _line(position: Column, label: Column) -> Column:
-    return F.struct(position.cast(LINE_ORDER).alias("line_order"), label.alias("line_label"))
+def _line(position: str, label: str) -> str:
+    return row(line_order=f"CAST({position} AS {LINE_ORDER})", line_label=label)
 
 
 def spine_rows(section: DataFrame, company_id: int | None, statement: Statement) -> DataFrame:
     """``statement_spine`` before duplicates are removed."""
     calculated = [(t.line_order, t.label) for t in statement.totals] + list(statement.captions)
-    fixed = [_line(F.lit(position), F.lit(label)) for position, label in calculated]
-    own = _line(F.col("statement_section_order"), indent(F.col("statement_section")))
+    fixed = ", ".join(_line(position, quoted(label)) for position, label in calculated)
+    own = _line("statement_section_order", indent("statement_section"))
 
-    flag, company = F.col("is_balance_sheet_section"), F.col("company_id")
-    sections = section.where(flag != 0 if statement.is_balance_sheet else flag == 0)
+    flag = "!= 0" if statement.is_balance_sheet else "= 0"
+    sections = section.where(f"is_balance_sheet_section {flag}")
     if company_id is None:
-        sections = sections.where(company.isNotNull())
-        return sections.select("company_id", F.inline(F.array(own, *fixed)))
-    rows = sections.where(company == company_id).select("company_id", F.inline(F.array(own)))
-    always = section.sparkSession.range(1, numPartitions=1).select(
-        F.lit(company_id).alias("company_id"), F.inline(F.array(*fixed))
+        sections = sections.where("company_id IS NOT NULL")
+        return sections.selectExpr("company_id", f"inline(array({own}, {fixed}))")
+    rows = sections.where(f"company_id = {int(company_id)}").selectExpr(
+        "company_id", f"inline(array({own}))"
     )
-    return rows.unionByName(always)
+    always = section.sparkSession.sql(
+        f"SELECT {int(company_id)} AS company_id, inline(array({fixed}))"
+    )
+    return rows.union(always)
 
 
 def statement_spine(

@@ -10,88 +10,82 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallybook.chart import STANDARD, Chart, Ratio, Statement, Total
-from tallybook.functions import format_money
+from tallybook.chart import STANDARD, Chart, Ratio, Statement, Total, order_in
+from tallybook.functions import format_money, quoted, row
 from tallybook.schema import LINE_ORDER, MONEY, RATIO
 
-def _order() -> Column:
-    return F.col("statement_section_order")
-
-
-def _sum_where(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("balance")))
-
 
 def statement_rows(mart: DataFrame, statement: Statement) -> DataFrame:
-    return mart.where(F.col("is_balance_sheet_section") == int(statement.is_balance_sheet))
+    return mart.where(f"is_balance_sheet_section = {int(statement.is_balance_sheet)}")
 
 
 def has_period(df: DataFrame) -> DataFrame:
     """Rows that belong to a known company and year: no report can ask for the others."""
-    return df.where(F.col("company_id").isNotNull() & F.col("year").isNotNull())
+    return df.where("company_id IS NOT NULL AND year IS NOT NULL")
 
 
-def in_orders(orders: Sequence[int] | None) -> Column:
-    return F.lit(True) if orders is None else _order().isin(*orders)
+def line(position: str, label: str, balance: str, caption: bool = False) -> str:
+    return row(
+        line_order=f"CAST({position} AS {LINE_ORDER})",
+        line_label=quoted(label),
+        balance=f"CAST({balance} AS {MONEY})",
+        is_caption=str(caption).lower(),
+    )
 
 
-def line(position: str, label: str, balance: Column, caption: bool = False) -> Column:
-    return F.struct(
-        F.lit(position).cast(LINE_ORDER).alias("line_order"),
-        F.lit(label).alias("line_label"),
-        balance.cast(MONEY).alias("balance"),
-        F.lit(caption).alias("is_caption"),
-    )
+def caption_lines(statement: Statement) -> list[str]:
+    return [line(position, label, "NULL", True) for position, label in statement.captions]
+
 
+def inlined(lines: Sequence[str]) -> str:
+    """One row per line that is not NULL."""
+    return f"inline(array_compact(array({', '.join(lines)})))"
 
-def caption_lines(statement: Statement) -> list[Column]:
-    nothing = F.lit(None)
-    return [line(position, label, nothing, True) for position, label in statement.captions]
+
+def _sum_of(condition: str) -> str:
+    return f"sum(balance) FILTER (WHERE {condition})"
+
+
+def _any(condition: str) -> str:
+    return f"coalesce(bool_or({condition}), false)"
 
 
 def total_sums(totals: Sequence[Total]) -> list[Column]:
     """For each total its signed sum, and whether any row qualifies for it."""
     sums = []
     for i, total in enumerate(totals):
-        member = in_orders(total.orders)
-        amount = _sum_where(member)
-        sums.append((amount if total.sign > 0 else -amount).alias(f"total_{i}"))
-        sums.append(F.bool_or(F.coalesce(member, F.lit(False))).alias(f"has_total_{i}"))
+        member = order_in(total.orders)
+        sums.append(F.expr(f"{total.sign} * {_sum_of(member)} AS total_{i}"))
+        sums.append(F.expr(f"{_any(member)} AS has_total_{i}"))
     return sums
 
 
-def total_lines(totals: Sequence[Total]) -> list[Column]:
+def total_lines(totals: Sequence[Total]) -> list[str]:
     """The lines of ``total_sums``; NULL where no row qualified."""
     return [
-        F.when(F.col(f"has_total_{i}"), line(t.line_order, t.label, F.col(f"total_{i}")))
+        f"IF(has_total_{i}, {line(t.line_order, t.label, f'total_{i}')}, NULL)"
         for i, t in enumerate(totals)
     ]
 
 
 def ratio_sums(ratio: Ratio) -> list[Column]:
-    numerator, denominator = _order() == ratio.numerator, _order() == ratio.denominator
+    over, under = order_in((ratio.numerator,)), order_in((ratio.denominator,))
     return [
-        F.try_divide(
-            -_sum_where(numerator).cast("double"),
-            _sum_where(denominator).cast("double"),
-        ).alias("ratio"),
-        (
-            F.coalesce(F.bool_or(numerator), F.lit(False))
-            & F.coalesce(F.bool_or(denominator), F.lit(False))
-        ).alias("has_ratio"),
+        F.expr(
+            f"try_divide(-CAST({_sum_of(over)} AS DOUBLE), CAST({_sum_of(under)} AS DOUBLE)) "
+            "AS ratio"
+        ),
+        F.expr(f"{_any(over)} AND {_any(under)} AS has_ratio"),
     ]
 
 
 def _totals(mart: DataFrame, statement: Statement) -> DataFrame:
+    lines = inlined(total_lines(statement.totals))
     return (
         statement_rows(mart, statement)
         .groupBy("company_id", "year")
         .agg(*total_sums(statement.totals))
-        .select(
-            "company_id",
-            "year",
-            F.inline(F.array_compact(F.array(*total_lines(statement.totals)))),
-        )
+        .selectExpr("company_id", "year", lines)
         .drop("is_caption")
     )
 
@@ -119,45 +113,47 @@ def gross_margin_ratio(mart: DataFrame, chart: Chart = STANDARD) -> DataFrame:
     ratio = chart.margin
     return (
         has_period(statement_rows(mart, chart.profit_loss))
-        .where(in_orders((ratio.numerator, ratio.denominator)))
+        .where(order_in((ratio.numerator, ratio.denominator)))
         .groupBy("company_id", "year")
         .agg(*ratio_sums(ratio))
         .where("has_ratio")
-        .select("company_id", "year", F.round("ratio", 6).cast(RATIO).alias("gross_margin_ratio"))
+        .selectExpr(
+            "company_id", "year", f"CAST(round(ratio, 6) AS {RATIO}) AS gross_margin_ratio"
+        )
     )
 
 
-def _sides(mart: DataFrame, chart: Chart) -> DataFrame:
-    assets = in_orders(chart.assets)
-    claims = in_orders(chart.liabilities_and_equity)
+def _check(mart: DataFrame, chart: Chart, name: str, compared: str) -> DataFrame:
+    """Both sides per company-year and the verdict on ``compared``, a text template."""
+    assets, claims = order_in(chart.assets), order_in(chart.liabilities_and_equity)
+    left = compared.format("total_assets")
+    right = compared.format("total_liabilities_and_equity")
     return (
         has_period(statement_rows(mart, chart.balance_sheet))
-        .where(assets | claims)
         .groupBy("company_id", "year")
         .agg(
-            _sum_where(assets).cast(MONEY).alias("total_assets"),
-            (-_sum_where(claims)).cast(MONEY).alias("total_liabilities_and_equity"),
-            F.bool_or(assets).alias("has_assets"),
-            F.bool_or(claims).alias("has_claims"),
+            F.expr(f"CAST({_sum_of(assets)} AS {MONEY}) AS total_assets"),
+            F.expr(f"CAST(-{_sum_of(claims)} AS {MONEY}) AS total_liabilities_and_equity"),
+            F.expr(f"{_any(assets)} AND {_any(claims)} AS has_both"),
+        )
+        .where("has_both")
+        .selectExpr(
+            "company_id",
+            "year",
+            "total_assets",
+            "total_liabilities_and_equity",
+            f"CASE WHEN {left} = {right} THEN 'A = L + E' "
+            f"WHEN {left} != {right} THEN 'A != L + E' END AS {name}",
         )
-        .where(F.col("has_assets") & F.col("has_claims"))
-        .drop("has_assets", "has_claims")
     )
 
 
-def _verdict(left: Column, right: Column) -> Column:
-    return F.when(left == right, "A = L + E").when(left != right, "A != L + E")
-
-
 def balance_check(mart: DataFrame, chart: Chart = STANDARD) -> DataFrame:
     """Assets against liabilities plus equity, compared in whole units.
 
     All companies and years with rows on both sides.
     """
-    left, right = F.col("total_assets"), F.col("total_liabilities_and_equity")
-    return _sides(mart, chart).withColumn(
-        "balance_check", _verdict(F.round(left, 0), F.round(right, 0))
-    )
+    return _check(mart, chart, "balance_check", "round({}, 0)")
 
 
 def balance_check_prefix(mart: DataFrame, chart: Chart = STANDARD) -> DataFrame:
@@ -166,12 +162,7 @@ def balance_check_prefix(mart: DataFrame, chart: Chart = STANDARD) -> DataFrame:
     A text such as 1,234,567.89 counts up to its first comma only, so the check passes as
     soon as the leading digit groups agree. Kept for users who must reproduce old verdicts.
     """
-
-    def leading(total: str) -> Column:
-        text = F.substring_index(format_money(F.col(total)), ",", 1)
-        return F.bround(text.cast(MONEY), 0)
-
-    return _sides(mart, chart).withColumn(
-        "balance_check_prefix",
-        _verdict(leading("total_assets"), leading("total_liabilities_and_equity")),
+    leading = f"substring_index({format_money('{}')}, ',', 1)"
+    return _check(
+        mart, chart, "balance_check_prefix", f"bround(CAST({leading} AS {MONEY}), 0)"
     )

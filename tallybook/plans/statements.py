@@ -7,14 +7,14 @@ balances prints twice. Totals, the ratio and the captions come from one aggregat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tallybook.chart import STANDARD, Chart, Statement
+from tallybook.chart import STANDARD, Chart, Statement, order_in
 from tallybook.functions import format_money, indent
 from tallybook.operators.totals import (
     caption_lines,
     has_period,
-    in_orders,
+    inlined,
     line,
     ratio_sums,
     statement_rows,
@@ -25,6 +25,7 @@ from tallybook.schema import LINE_ORDER
 
 _KEYS = ["company_id", "year"]
 _SORT = ["company_id", "year", "line_order", "line_label", "balance"]
+_COLUMNS = ["company_id", "year", "line_order", "line_label"]
 
 
 def _selected(
@@ -32,26 +33,23 @@ def _selected(
 ) -> DataFrame:
     rows = has_period(statement_rows(mart, statement))
     if company_id is not None:
-        rows = rows.where(F.col("company_id") == company_id)
+        rows = rows.where(f"company_id = {int(company_id)}")
     if year is not None:
-        rows = rows.where(F.col("year") == year)
+        rows = rows.where(f"year = {int(year)}")
     return rows
 
 
-def display_balance(statement: Statement) -> Column:
-    balance = F.col("balance")
-    if not statement.negated:
-        return balance
-    return F.when(in_orders(statement.negated), -balance).otherwise(balance)
+def display_balance(statement: Statement) -> str:
+    return f"IF({order_in(statement.negated)}, -balance, balance)"
 
 
 def _detail(rows: DataFrame, statement: Statement) -> DataFrame:
-    return rows.where(in_orders(statement.detail)).select(
+    return rows.where(order_in(statement.detail)).selectExpr(
         *_KEYS,
-        F.col("statement_section_order").cast(LINE_ORDER).alias("line_order"),
-        indent(F.col("statement_section")).alias("line_label"),
-        display_balance(statement).alias("balance"),
-        F.lit(False).alias("is_caption"),
+        f"CAST(statement_section_order AS {LINE_ORDER}) AS line_order",
+        f"{indent('statement_section')} AS line_label",
+        f"{display_balance(statement)} AS balance",
+        "false AS is_caption",
     )
 
 
@@ -60,17 +58,14 @@ def _pl_lines(
 ) -> DataFrame:
     statement, ratio = chart.profit_loss, chart.margin
     rows = _selected(mart, statement, company_id, year)
-    lines = total_lines(statement.totals) + [
-        F.when(
-            F.col("has_ratio"), line(ratio.line_order, ratio.label, F.round(F.col("ratio"), 2))
-        )
-    ]
+    ratio_line = line(ratio.line_order, ratio.label, "round(ratio, 2)")
+    lines = [*total_lines(statement.totals), f"IF(has_ratio, {ratio_line}, NULL)"]
     calculated = (
         rows.groupBy(*_KEYS)
         .agg(*total_sums(statement.totals), *ratio_sums(ratio))
-        .select(*_KEYS, F.inline(F.array_compact(F.array(*lines))))
+        .selectExpr(*_KEYS, inlined(lines))
     )
-    return _detail(rows, statement).unionByName(calculated)
+    return _detail(rows, statement).union(calculated)
 
 
 def _bs_lines(
@@ -81,18 +76,24 @@ def _bs_lines(
     totals, captions = total_lines(statement.totals), caption_lines(statement)
     grouped = rows.groupBy(*_KEYS).agg(*total_sums(statement.totals))
     if company_id is None or year is None:
-        calculated = grouped.select(
-            *_KEYS, F.inline(F.array_compact(F.array(*totals, *captions)))
+        calculated = grouped.selectExpr(*_KEYS, inlined(totals + captions))
+    else:
+        # One sheet was asked for: its captions print even without any balance.
+        calculated = grouped.selectExpr(*_KEYS, inlined(totals)).union(
+            mart.sparkSession.sql(
+                f"SELECT {int(company_id)} AS company_id, {int(year)} AS year, {inlined(captions)}"
+            )
         )
-        return _detail(rows, statement).unionByName(calculated)
-    # One sheet was asked for: its captions print even without any balance.
-    calculated = grouped.select(*_KEYS, F.inline(F.array_compact(F.array(*totals))))
-    always = mart.sparkSession.range(1, numPartitions=1).select(
-        F.lit(company_id).alias("company_id"),
-        F.lit(year).alias("year"),
-        F.inline(F.array(*captions)),
-    )
-    return _detail(rows, statement).unionByName(calculated).unionByName(always)
+    return _detail(rows, statement).union(calculated)
+
+
+def _numeric(lines: DataFrame) -> DataFrame:
+    return lines.orderBy(*_SORT).select(*_COLUMNS, "balance")
+
+
+def _text(lines: DataFrame) -> DataFrame:
+    text = f"IF(is_caption, '', {format_money('balance')}) AS balance"
+    return lines.orderBy(*_SORT).selectExpr(*_COLUMNS, text)
 
 
 def pl_statement(
@@ -106,7 +107,7 @@ def pl_statement(
     None for a parameter means all companies or all years. The ratio line holds a
     fraction rounded to two digits; ``gross_margin_ratio`` has it in full.
     """
-    return _pl_lines(mart, company_id, year, chart).drop("is_caption").orderBy(*_SORT)
+    return _numeric(_pl_lines(mart, company_id, year, chart))
 
 
 def balance_sheet(
@@ -120,16 +121,7 @@ def balance_sheet(
     Liabilities and equity are shown with the opposite sign. The sheet of one given
     company and year always has its captions; otherwise each company-year found has.
     """
-    return _bs_lines(mart, company_id, year, chart).drop("is_caption").orderBy(*_SORT)
-
-
-def _formatted(lines: DataFrame) -> DataFrame:
-    text = F.when(F.col("is_caption"), F.lit("")).otherwise(format_money(F.col("balance")))
-    return (
-        lines.orderBy(*_SORT)
-        .withColumn("balance", text)
-        .select(*_KEYS, "line_order", "line_label", "balance")
-    )
+    return _numeric(_bs_lines(mart, company_id, year, chart))
 
 
 def pl_statement_formatted(
@@ -139,7 +131,7 @@ def pl_statement_formatted(
     chart: Chart = STANDARD,
 ) -> DataFrame:
     """``pl_statement`` with balances as text."""
-    return _formatted(_pl_lines(mart, company_id, year, chart))
+    return _text(_pl_lines(mart, company_id, year, chart))
 
 
 def balance_sheet_formatted(
@@ -149,4 +141,4 @@ def balance_sheet_formatted(
     chart: Chart = STANDARD,
 ) -> DataFrame:
     """``balance_sheet`` with balances as text; captions have an empty one."""
-    return _formatted(_bs_lines(mart, company_id, year, chart))
+    return _text(_bs_lines(mart, company_id, year, chart))

@@ -10,52 +10,48 @@ sums combined before it, where a pivot and a join to the spine would take three.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallybook.chart import STANDARD, Chart, Statement
-from tallybook.functions import change_ratio, format_money, indent
+from tallybook.chart import STANDARD, Chart, Statement, listed, order_in
+from tallybook.functions import change_ratio, format_money, indent, quoted, row
 from tallybook.operators.spine import spine_rows
-from tallybook.operators.totals import has_period, in_orders, statement_rows
+from tallybook.operators.totals import has_period, inlined, statement_rows
 from tallybook.plans.statements import display_balance
 from tallybook.schema import LINE_ORDER, MONEY, RATIO
 
+_LINE = ["company_id", "line_order", "line_label"]
 
-def _amount(position: Column, label: Column, amount: Column) -> Column:
-    return F.struct(
-        position.cast(LINE_ORDER).alias("line_order"),
-        label.alias("line_label"),
-        amount.alias("amount"),
+
+def _amount(condition: str, position: str, label: str, amount: str) -> str:
+    line = row(
+        line_order=f"CAST({position} AS {LINE_ORDER})",
+        line_label=label,
+        amount=f"CAST({amount} AS {MONEY})",
     )
+    return f"IF({condition}, {line}, NULL)"
 
 
 def _line_amounts(mart: DataFrame, statement: Statement, years: Sequence[int]) -> DataFrame:
     """Each section balance once per line it belongs to: its own and its totals."""
-    balance, order = F.col("balance"), F.col("statement_section_order")
-    own = _amount(order, indent(F.col("statement_section")), display_balance(statement))
-    lines = [F.when(in_orders(statement.detail), own)] + [
-        F.when(
-            in_orders(t.orders),
-            _amount(F.lit(t.line_order), F.lit(t.label), balance if t.sign > 0 else -balance),
-        )
+    own = _amount(
+        order_in(statement.detail),
+        "statement_section_order",
+        indent("statement_section"),
+        display_balance(statement),
+    )
+    totals = [
+        _amount(order_in(t.orders), t.line_order, quoted(t.label), f"{t.sign} * balance")
         for t in statement.totals
     ]
     return (
         has_period(statement_rows(mart, statement))
-        .where(F.col("year").isin(list(years)))
-        .select("company_id", "year", F.inline(F.array_compact(F.array(*lines))))
+        .where(f"year IN ({listed(years)})")
+        .selectExpr("company_id", "year", inlined([own, *totals]))
     )
 
 
-def _amount_name(year: int) -> str:
-    return f"b{year}"
-
-
-def _ratio_name(previous: int, current: int) -> str:
-    return f"r{previous % 100:02d}to{current % 100:02d}"
-
-
 def _year_over_year(
     mart: DataFrame,
     section: DataFrame,
@@ -63,63 +59,49 @@ def _year_over_year(
     company_id: int | None,
     years: Sequence[int],
 ) -> DataFrame:
-    years = list(years)
     if len(set(years)) != len(years):
         raise ValueError(f"a year is listed twice in {years}")
     amounts = _line_amounts(mart, statement, years)
     if company_id is not None:
-        amounts = amounts.where(F.col("company_id") == company_id)
+        amounts = amounts.where(f"company_id = {int(company_id)}")
     if not statement.is_balance_sheet:
         # P&L lines are matched by label, so a balance without one belongs to no line.
-        amounts = amounts.where(F.col("line_label").isNotNull())
-    spine = spine_rows(section, company_id, statement).select(
-        "company_id", F.lit(None).cast("int").alias("year"), "line_order", "line_label"
-    )
-    rows = amounts.withColumn("on_spine", F.lit(False)).unionByName(
-        spine.withColumn("amount", F.lit(None).cast(MONEY)).withColumn("on_spine", F.lit(True))
-    )
+        amounts = amounts.where("line_label IS NOT NULL")
+    spine = spine_rows(section, company_id, statement)
+    balances = [
+        F.expr(f"CAST(sum(amount) FILTER (WHERE year = {year}) AS {MONEY}) AS b{year}")
+        for year in years
+    ]
     return (
-        rows.groupBy("company_id", "line_order", "line_label")
-        .agg(
-            F.bool_or("on_spine").alias("on_spine"),
-            *[
-                F.sum(F.when(F.col("year") == year, F.col("amount")))
-                .cast(MONEY)
-                .alias(_amount_name(year))
-                for year in years
-            ],
-        )
+        amounts.selectExpr(*_LINE, "year", "amount", "false AS on_spine")
+        .union(spine.selectExpr(*_LINE, "NULL AS year", "NULL AS amount", "true AS on_spine"))
+        .groupBy(*_LINE)
+        .agg(F.expr("bool_or(on_spine) AS on_spine"), *balances)
         .where("on_spine")
     )
 
 
-def _columns(
-    lines: DataFrame,
-    years: Sequence[int],
-    missing_ratio: float | None,
-    money: Callable[[Column], Column],
-    ratio: Callable[[Column], Column],
+def _printed(
+    lines: DataFrame, years: Sequence[int], missing_ratio: str, money: str, ratio: str
 ) -> DataFrame:
-    amount = {year: F.col(_amount_name(year)) for year in years}
-    zero = F.lit(0).cast(MONEY)
-    balances = [money(F.coalesce(amount[y], zero)).alias(_amount_name(y)) for y in years]
+    """``money`` and ``ratio`` are text templates for the two kinds of columns."""
+    balances = [f"{money.format(f'coalesce(b{y}, 0)')} AS b{y}" for y in years]
     ratios = [
-        ratio(change_ratio(amount[b], amount[a], missing_ratio)).alias(_ratio_name(a, b))
+        f"{ratio.format(change_ratio(f'b{b}', f'b{a}', missing_ratio))} "
+        f"AS r{a % 100:02d}to{b % 100:02d}"
         for a, b in zip(years, years[1:])
     ]
-    return lines.orderBy("company_id", "line_order", "line_label").select(
-        "company_id", "line_order", "line_label", *balances, *ratios
-    )
+    return lines.orderBy(*_LINE).selectExpr(*_LINE, *balances, *ratios)
 
 
 def _numeric(lines: DataFrame, years: Sequence[int], missing_ratio: float | None) -> DataFrame:
-    return _columns(
-        lines, years, missing_ratio, lambda c: c, lambda c: F.round(c, 6).cast(RATIO)
-    )
+    missing = "NULL" if missing_ratio is None else str(float(missing_ratio))
+    money, ratio = f"CAST({{}} AS {MONEY})", f"CAST(round({{}}, 6) AS {RATIO})"
+    return _printed(lines, years, missing, money, ratio)
 
 
 def _text(lines: DataFrame, years: Sequence[int]) -> DataFrame:
-    return _columns(lines, years, 0.0, format_money, format_money)
+    return _printed(lines, years, "0", format_money("{}"), format_money("{}"))
 
 
 def pl_year_over_year(

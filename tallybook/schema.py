@@ -2,63 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame
 
 # One journal line. Eighteen digits keep Spark on its 64-bit decimal.
-AMOUNT = T.DecimalType(18, 2)
+AMOUNT = "decimal(18,2)"
 # Sums of lines. A section that holds a third of 10^12 lines passes 10^16, which
 # decimal(18,2) cannot store; decimal(28,2) is what sum(decimal(18,2)) returns.
-MONEY = T.DecimalType(28, 2)
+MONEY = "decimal(28,2)"
 # Wide enough for the largest MONEY divided by one cent.
-RATIO = T.DecimalType(38, 6)
+RATIO = "decimal(38,6)"
 # Line positions such as 3.65.
-LINE_ORDER = T.DecimalType(6, 2)
+LINE_ORDER = "decimal(6,2)"
 
+ACCOUNT = {
+    "account_id": "bigint",
+    "profit_loss_section_id": "bigint",
+    "balance_sheet_section_id": "bigint",
+}
 
-def _schema(**columns: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
+STATEMENT_SECTION = {
+    "statement_section_id": "bigint",
+    "is_balance_sheet_section": "tinyint",
+    "company_id": "int",
+    "statement_section_order": "int",
+    "statement_section": "string",
+}
 
+JOURNAL_ENTRY = {
+    "journal_entry_id": "bigint",
+    "entry_date": "date",
+    "cancelled": "tinyint",
+}
 
-ACCOUNT = _schema(
-    account_id=T.LongType(),
-    profit_loss_section_id=T.LongType(),
-    balance_sheet_section_id=T.LongType(),
-)
+JOURNAL_ENTRY_LINE_ITEM = {
+    "journal_entry_id": "bigint",
+    "account_id": "bigint",
+    "debit": AMOUNT,
+    "credit": AMOUNT,
+}
 
-STATEMENT_SECTION = _schema(
-    statement_section_id=T.LongType(),
-    is_balance_sheet_section=T.ByteType(),
-    company_id=T.IntegerType(),
-    statement_section_order=T.IntegerType(),
-    statement_section=T.StringType(),
-)
+SECTION_BALANCE = {
+    "is_balance_sheet_section": "tinyint",
+    "company_id": "int",
+    "year": "int",
+    "statement_section_order": "int",
+    "statement_section": "string",
+    "balance": MONEY,
+}
 
-JOURNAL_ENTRY = _schema(
-    journal_entry_id=T.LongType(),
-    entry_date=T.DateType(),
-    cancelled=T.ByteType(),
-)
 
-JOURNAL_ENTRY_LINE_ITEM = _schema(
-    journal_entry_id=T.LongType(),
-    account_id=T.LongType(),
-    debit=AMOUNT,
-    credit=AMOUNT,
-)
+def ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{name} {dtype}" for name, dtype in columns.items())
 
-SECTION_BALANCE = _schema(
-    is_balance_sheet_section=T.ByteType(),
-    company_id=T.IntegerType(),
-    year=T.IntegerType(),
-    statement_section_order=T.IntegerType(),
-    statement_section=T.StringType(),
-    balance=MONEY,
-)
 
+def casts(columns: dict[str, str]) -> list[str]:
+    return [f"CAST({name} AS {dtype}) AS {name}" for name, dtype in columns.items()]
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast exactly the columns of ``schema``; other columns are never read."""
-    missing = [name for name in schema.names if name not in df.columns]
+
+def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Select and cast exactly these columns; others are never read."""
+    missing = [name for name in columns if name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*casts(columns))

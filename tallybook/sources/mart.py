@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallybook import schema
+from tallybook.schema import SECTION_BALANCE, conform, ddl
 
 
 def write_section_balance(df: DataFrame, path: str) -> None:
@@ -16,14 +16,13 @@ def write_section_balance(df: DataFrame, path: str) -> None:
     that is much larger than the others. Entries without a date land in the default
     partition and read back with a NULL year.
     """
-    out = schema.conform(df, schema.SECTION_BALANCE)
-    out.hint("rebalance", F.col("year")).write.mode("overwrite").partitionBy("year").parquet(path)
+    out = conform(df, SECTION_BALANCE).hint("rebalance", F.col("year"))
+    out.write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def read_section_balance(spark: SparkSession, path: str) -> DataFrame:
     """Read the table; a filter on year prunes partitions."""
-    df = spark.read.schema(schema.SECTION_BALANCE).parquet(path)
-    return df.select(*schema.SECTION_BALANCE.names)
+    return spark.read.schema(ddl(SECTION_BALANCE)).parquet(path).select(*SECTION_BALANCE)
 
 
 def restate_section_balance(
@@ -40,5 +39,5 @@ def restate_section_balance(
         raise ValueError("new_path must differ from old_path")
     restated = F.col("year").isin(list(years))
     kept = read_section_balance(spark, old_path).where(~F.coalesce(restated, F.lit(False)))
-    fresh = schema.conform(fresh, schema.SECTION_BALANCE).where(restated)
+    fresh = conform(fresh, SECTION_BALANCE).where(restated)
     write_section_balance(kept.unionByName(fresh), new_path)

@@ -7,9 +7,10 @@ account. The supplier decides the company (1 to 5). FIXTURES.md section 2 has th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tallybook import schema
+from tallybook.functions import quoted, row
+from tallybook.schema import AMOUNT, STATEMENT_SECTION, casts
 from tallybook.sources.ledger import Ledger
 
 COMPANIES = 5
@@ -40,105 +41,84 @@ BALANCE_SHEET_LABELS = (
     "EQUITY",
 )
 
-
-def _company_sections(spark: SparkSession) -> DataFrame:
-    rows = [
-        F.struct(
-            F.lit(flag).alias("is_balance_sheet_section"),
-            F.lit(order).alias("statement_section_order"),
-            F.lit(label).alias("statement_section"),
-        )
-        for flag, labels in enumerate((PROFIT_LOSS_LABELS, BALANCE_SHEET_LABELS))
-        for order, label in enumerate(labels, start=1)
-    ]
-    return (
-        spark.range(1, COMPANIES + 1, numPartitions=1)
-        .select(F.col("id").alias("company_id"), F.inline(F.array(*rows)))
-        .withColumn(
-            "statement_section_id",
-            F.expr("company_id * 100 + is_balance_sheet_section * 50 + statement_section_order"),
-        )
-    )
+_ORDERS = "o_orderkey bigint, o_orderdate timestamp_ntz, o_orderpriority string"
+_LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double"
+)
 
 
 def _sections(spark: SparkSession) -> DataFrame:
-    placeholder = spark.range(1, numPartitions=1).select(
-        F.lit(0).alias("statement_section_id"),
-        F.lit(0).alias("is_balance_sheet_section"),
-        F.lit(0).alias("company_id"),
-        F.lit(0).alias("statement_section_order"),
-        F.lit("UNASSIGNED").alias("statement_section"),
+    sections = [(0, 0, 0, 0, "UNASSIGNED")]
+    for company in range(1, COMPANIES + 1):
+        for flag, labels in enumerate((PROFIT_LOSS_LABELS, BALANCE_SHEET_LABELS)):
+            for order, label in enumerate(labels, start=1):
+                section_id = company * 100 + flag * 50 + order
+                sections.append((section_id, flag, company, order, label))
+    values = ", ".join(f"({', '.join(map(str, s[:-1]))}, {quoted(s[-1])})" for s in sections)
+    # A literal relation: Spark knows its size, so it needs no broadcast hint.
+    return spark.sql(
+        f"SELECT {', '.join(casts(STATEMENT_SECTION))} "
+        f"FROM VALUES {values} AS s({', '.join(STATEMENT_SECTION)})"
     )
-    sections = schema.conform(_company_sections(spark), schema.STATEMENT_SECTION)
-    return sections.unionByName(schema.conform(placeholder, schema.STATEMENT_SECTION))
 
 
-def _accounts(spark: SparkSession) -> DataFrame:
-    on_balance_sheet = F.col("is_balance_sheet_section") == 1
-    section_id = F.col("statement_section_id")
-    accounts = _company_sections(spark).select(
-        section_id.alias("account_id"),
-        F.when(on_balance_sheet, 0).otherwise(section_id).alias("profit_loss_section_id"),
-        F.when(on_balance_sheet, section_id).otherwise(0).alias("balance_sheet_section_id"),
+def _accounts(section: DataFrame) -> DataFrame:
+    return section.where("statement_section_id <> 0").selectExpr(
+        "statement_section_id AS account_id",
+        "statement_section_id * (1 - is_balance_sheet_section) AS profit_loss_section_id",
+        "statement_section_id * is_balance_sheet_section AS balance_sheet_section_id",
     )
-    return schema.conform(accounts, schema.ACCOUNT)
 
 
 def _expand(lines: DataFrame) -> DataFrame:
     """One row per posting of an order line; a posting left out has no account."""
-    part, supplier, company = F.col("l_partkey"), F.col("l_suppkey"), F.col("company")
-    amount, nothing = F.col("amount"), F.lit(None).cast(schema.AMOUNT)
-    base = company * 100
-
-    def posting(account: Column, debit: Column, credit: Column) -> Column:
-        return F.struct(
-            account.cast("bigint").alias("account_id"),
-            debit.alias("debit"),
-            credit.alias("credit"),
-        )
-
-    no_tax_line = (company == 2) & (part % 13 == 11)
-    no_amount = (company == 1) & (part % 13 == 10)
-    no_credit_line = (company == 5) & (F.col("l_linenumber") == 1)
-    postings = F.array(
-        posting(
-            F.when(~no_tax_line, base + 1 + part % 13), F.when(~no_amount, amount), nothing
+    nothing = f"CAST(NULL AS {AMOUNT})"
+    part = "l_partkey % 13"
+    postings = [
+        row(
+            account_id=f"IF(company = 2 AND {part} = 11, NULL, company * 100 + 1 + {part})",
+            debit=f"IF(company = 1 AND {part} = 10, NULL, amount)",
+            credit=nothing,
         ),
-        posting(base + 51 + part % 3, amount, nothing),
-        posting(F.when(~no_credit_line, base + 54 + supplier % 4), nothing, amount),
-    )
+        row(account_id="company * 100 + 51 + l_partkey % 3", debit="amount", credit=nothing),
+        row(
+            account_id="IF(company = 5 AND l_linenumber = 1, NULL, "
+            "company * 100 + 54 + l_suppkey % 4)",
+            debit=nothing,
+            credit="amount",
+        ),
+    ]
     source = {"l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"}
     keep = [name for name in lines.columns if name not in source]
     return (
-        lines.withColumns(
-            {
-                "company": 1 + supplier % COMPANIES,
-                "amount": F.col("l_extendedprice").cast(schema.AMOUNT),
-            }
+        lines.selectExpr(
+            *keep,
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            f"1 + l_suppkey % {COMPANIES} AS company",
+            f"CAST(l_extendedprice AS {AMOUNT}) AS amount",
         )
-        .select(*keep, F.inline(postings))
-        .where(F.col("account_id").isNotNull())
+        .selectExpr(*keep, f"inline(array({', '.join(postings)}))")
+        .where("account_id IS NOT NULL")
     )
 
 
 def ledger_from_orders(spark: SparkSession, path: str) -> Ledger:
     """Derive the ledger from ``path/orders.parquet`` and ``path/lineitem.parquet``."""
-    orders = spark.read.parquet(f"{path}/orders.parquet").select(
-        F.col("o_orderkey").alias("journal_entry_id"),
-        F.col("o_orderdate").alias("entry_date"),
-        F.when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(0).alias("cancelled"),
-    )
-    lines = spark.read.parquet(f"{path}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("journal_entry_id"),
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_extendedprice",
+    orders = spark.read.schema(_ORDERS).parquet(f"{path}/orders.parquet")
+    lines = spark.read.schema(_LINEITEM).parquet(f"{path}/lineitem.parquet")
+    entry = orders.selectExpr(
+        "o_orderkey AS journal_entry_id",
+        "CAST(o_orderdate AS date) AS entry_date",
+        "CAST(IF(o_orderpriority = '5-LOW', 1, 0) AS tinyint) AS cancelled",
     )
+    section = _sections(spark)
     return Ledger(
-        account=_accounts(spark),
-        section=_sections(spark),
-        entry=schema.conform(orders, schema.JOURNAL_ENTRY),
-        line=lines,
+        account=_accounts(section),
+        section=section,
+        entry=entry,
+        line=lines.withColumnRenamed("l_orderkey", "journal_entry_id"),
         expand=_expand,
     )
