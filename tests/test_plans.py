@@ -1,0 +1,146 @@
+"""What the plans must look like for a journal that is far larger than memory."""
+
+import re
+from decimal import Decimal as D
+
+import pytest
+
+import __spark_entry__ as contract
+from tallybook import operators as ops
+from tallybook.operators.balances import account_totals, posted_lines
+from tallybook.sources import Ledger, ledger_from_files, ledger_from_orders, ledger_from_tables
+from tests.ledgers import TABLES, book
+from tests.test_section_balance import CASH, DAY, LOANS, REVENUE
+
+SF_DIR = "/root/testdata/sf0.001"
+FACT_QUERIES = [key for key in contract.queries() if not key.startswith("statement_spine")]
+
+
+def final_plan(df) -> str:
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]
+
+
+def initial_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Plan as if no table were small enough for a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("key", FACT_QUERIES)
+def test_the_journal_is_read_once(spark, key):
+    plan = final_plan(contract.queries()[key](spark, SF_DIR))
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
+    assert len(re.findall(r"FileScan parquet \[o_orderkey", plan)) == 1
+
+
+@pytest.mark.parametrize("key", contract.queries())
+def test_only_equi_joins_and_no_python(spark, large_tables, key):
+    plan = initial_plan(contract.queries()[key](spark, SF_DIR))
+    for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "ExistingRDD"):
+        assert operator not in plan
+    assert "BroadcastHashJoin" not in plan, "a broadcast that no size check allowed"
+
+
+def test_the_journal_shrinks_before_any_other_shuffle(spark, large_tables):
+    """Between the entry join and the accounts there is only the partial sum."""
+    plan = initial_plan(ops.build_section_balance(ledger_from_orders(spark, SF_DIR)))
+    lines = [line.strip(" :+-*()0123456789") for line in plan.splitlines()]
+    join = max(i for i, line in enumerate(lines) if line.startswith("SortMergeJoin"))
+    above = [re.split(r"[ (]", line)[0] for line in lines[:join]]
+    assert above[-5:] == ["HashAggregate", "Project", "Filter", "Generate", "Project"]
+    assert "partial_sum" in lines[join - 5]
+    assert above[-6] == "Exchange"
+    assert "hashpartitioning(account_id" in lines[join - 6]
+
+
+def test_scans_read_only_the_used_columns(spark):
+    plan = final_plan(ops.build_section_balance(ledger_from_orders(spark, SF_DIR)))
+    assert (
+        "FileScan parquet [l_orderkey" in plan and "l_quantity" not in plan and "o_custkey" not in plan
+    )
+
+
+def test_selected_years_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = initial_plan(posted_lines(ledger_from_orders(spark, SF_DIR), years=[1996, 1997]))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = re.search(r"PushedFilters: \[(.*GreaterThan.*?)\]", plan).group(1)
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in pushed
+    assert "LessThan(o_orderdate,1998-01-01" in pushed
+
+
+def save_as_files(spark, ledger: Ledger, path: str) -> None:
+    tables = (ledger.account, ledger.section, ledger.entry, ledger.line)
+    for name, df in zip(TABLES, tables):
+        df.write.parquet(f"{path}/{name}")
+
+
+def test_hot_entry_is_split(spark, large_tables, tmp_path):
+    """One entry holds a third of all lines; its partition is read by several tasks."""
+    small = book([REVENUE, CASH, LOANS], [(1, 101, 0), (3, 0, 151), (4, 0, 154)], [])
+    base = small.ledger(spark)
+    n = 300_000
+    lines = spark.range(n, numPartitions=8).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS journal_entry_id",
+        "id % 4 AS account_id",
+        "CAST(id % 1000 AS decimal(18,2)) AS debit",
+        "CAST(id % 7 AS decimal(18,2)) AS credit",
+    )
+    entries = spark.range(n).selectExpr(
+        "id AS journal_entry_id", f"DATE'{DAY}' AS entry_date", "CAST(0 AS tinyint) AS cancelled"
+    )
+    save_as_files(spark, Ledger(base.account, base.section, entries, lines), str(tmp_path))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        totals = account_totals(posted_lines(ledger_from_files(spark, str(tmp_path))))
+        plan = final_plan(totals)
+        got = {r.account_id: (r.debit, r.credit) for r in totals.collect()}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == {
+        a: (
+            D(sum(i % 1000 for i in range(a, n, 4))),
+            D(sum(i % 7 for i in range(a, n, 4))),
+        )
+        for a in range(4)
+    }
+
+
+def test_bucketed_journal_is_joined_in_place(spark, large_tables, tmp_path):
+    """Tables bucketed by entry need no shuffle for the large join."""
+    b = book([REVENUE], [(1, 101, 0)], [(DAY, 1, D(i), None) for i in range(100)])
+    ledger = b.ledger(spark)
+    spark.sql(f"CREATE DATABASE books LOCATION '{tmp_path}'")
+    try:
+        ledger.account.write.saveAsTable("books.account")
+        ledger.section.write.saveAsTable("books.statement_section")
+        for df, name in ((ledger.entry, "journal_entry"), (ledger.line, "journal_entry_line_item")):
+            df.write.bucketBy(4, "journal_entry_id").sortBy("journal_entry_id").saveAsTable(
+                f"books.{name}"
+            )
+        stored = ledger_from_tables(spark, "books")
+        plan = initial_plan(posted_lines(stored))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert [r.balance for r in ops.build_section_balance(stored).collect()] == [D(4950)]
+        spark.catalog.setCurrentDatabase("books")
+        assert ledger_from_tables(spark).line.count() == 100
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+        spark.sql("DROP DATABASE books CASCADE")

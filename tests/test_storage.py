@@ -1,0 +1,114 @@
+"""Ledger files in and section balances out."""
+
+import os
+from datetime import date
+from decimal import Decimal as D
+
+import pytest
+
+from tallybook.operators import build_section_balance
+from tallybook.sources import (
+    ledger_from_files,
+    read_section_balance,
+    restate_section_balance,
+    write_section_balance,
+)
+from tests.ledgers import Book, book, mart
+from tests.test_plans import save_as_files
+from tests.test_section_balance import CASH, REVENUE
+
+ACCOUNTS = [(1, 101, 0), (3, 0, 151)]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def ledger_book(**amounts) -> Book:
+    postings = [(date(int(y[1:]), 3, 1), 1, D(a), None) for y, a in amounts.items()]
+    return book([REVENUE, CASH], ACCOUNTS, postings)
+
+
+def test_round_trip_keeps_rows_types_and_null_years(spark, tmp_path):
+    m = mart(
+        spark,
+        [
+            (0, 1, 2016, 1, "REVENUE", D("9.99")),
+            (0, 1, None, 1, "REVENUE", D("1.00")),
+            (0, 1, 2016, 14, "ODD", None),
+            (1, None, 2017, 1, None, D("99999999999999999999999999.99")),
+        ],
+    )
+    path = str(tmp_path / "mart")
+    write_section_balance(m, path)
+    stored = read_section_balance(spark, path)
+    assert [(f.name, f.dataType) for f in stored.schema] == [
+        (f.name, f.dataType) for f in m.schema
+    ]
+    assert rows(stored) == rows(m)
+    assert {d for d in os.listdir(path) if d.startswith("year=")} == {
+        "year=2016",
+        "year=2017",
+        "year=__HIVE_DEFAULT_PARTITION__",
+    }
+
+
+def test_writing_again_replaces_everything(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    for label in ("OLD", "NEW"):
+        write_section_balance(mart(spark, [(0, 1, 2016, 1, label, D(1))]), path)
+    write_section_balance(mart(spark, [(0, 1, 2017, 1, "NEW", D(1))]), path)
+    assert rows(read_section_balance(spark, path)) == [(0, 1, 2017, 1, "NEW", D("1.00"))]
+
+
+def test_a_year_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    write_section_balance(mart(spark, [(0, 1, y, 1, "R", D(1)) for y in (2015, 2016)]), path)
+    df = read_section_balance(spark, path).where("year = 2016")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert len(df.inputFiles()) >= 1 and df.count() == 1
+
+
+def test_restated_years(spark, tmp_path):
+    """2015 changes, 2016 vanishes, 2017 and the entry without a date stay."""
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    before = ledger_book(y2015=1, y2016=2, y2017=3)
+    before.journal_entry.append((9, None, 0))
+    before.journal_entry_line_item.append((9, 1, D(4), None))
+    write_section_balance(build_section_balance(before.ledger(spark)), old)
+    after = ledger_book(y2015=10, y2017=30)
+    fresh = build_section_balance(after.ledger(spark), years=[2015, 2016])
+    restate_section_balance(spark, fresh, [2015, 2016], old, new)
+    assert rows(read_section_balance(spark, new)) == [
+        (0, 1, 2015, 1, "REVENUE", D("10.00")),
+        (0, 1, 2017, 1, "REVENUE", D("3.00")),
+        (0, 1, None, 1, "REVENUE", D("4.00")),
+    ]
+    with pytest.raises(ValueError):
+        restate_section_balance(spark, fresh, [2015], old, old + "/")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_ledger_from_files(spark, tmp_path, fmt):
+    ledger = ledger_book(y2015=1, y2016=2).ledger(spark)
+    if fmt == "parquet":
+        save_as_files(spark, ledger, str(tmp_path))
+    else:
+        for name, df in (
+            ("account", ledger.account),
+            ("statement_section", ledger.section),
+            ("journal_entry", ledger.entry),
+            ("journal_entry_line_item", ledger.line),
+        ):
+            df.write.orc(str(tmp_path / name))
+    stored = ledger_from_files(spark, str(tmp_path), fmt)
+    assert rows(build_section_balance(stored)) == rows(build_section_balance(ledger))
+
+
+def test_a_table_without_a_needed_column_is_refused(spark, tmp_path):
+    ledger = ledger_book(y2015=1).ledger(spark)
+    save_as_files(spark, ledger, str(tmp_path))
+    ledger.entry.drop("cancelled").write.mode("overwrite").parquet(str(tmp_path / "journal_entry"))
+    with pytest.raises(ValueError, match="cancelled"):
+        ledger_from_files(spark, str(tmp_path))
