@@ -6,23 +6,28 @@ import math
 
 from pyspark.sql import SparkSession
 
-# What adaptive execution aims at per task; partitions start about this large as well.
-PARTITION_BYTES = 128 * 1024 * 1024
+MEGABYTE = 1024 * 1024
 
 
 def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
     """Settings for a journal whose large join shuffles about ``shuffle_bytes``.
 
-    The partition count has to fit the data before the first shuffle is written, because
-    adaptive execution merges partitions that are too small but only splits skewed ones.
+    The partition count has to fit the data before the shuffle is written: adaptive
+    execution merges small partitions afterwards, but of large ones it splits only the
+    skewed. Beyond 50,000 the bookkeeping of map outputs costs more than larger partitions.
+
+    The hash-join threshold lets adaptive execution replace the sort-merge join, so that
+    the lines need no sort, once every partition of the entries is known to fit a hash
+    table. It has to be at least the advisory partition size to take effect.
     """
-    partitions = max(200, math.ceil(shuffle_bytes / PARTITION_BYTES))
+    partitions = math.ceil(shuffle_bytes / (128 * MEGABYTE))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MEGABYTE),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MEGABYTE),
+        "spark.sql.shuffle.partitions": str(min(max(partitions, 200), 50_000)),
     }
 
 
@@ -32,9 +37,9 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallybook")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

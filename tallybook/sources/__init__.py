@@ -4,6 +4,7 @@ from tallybook.sources.ledger import Ledger, ledger_from_files, ledger_from_tabl
 from tallybook.sources.mart import (
     read_section_balance,
     restate_section_balance,
+    save_section_balance,
     write_section_balance,
 )
 from tallybook.sources.orders import ledger_from_orders
@@ -15,5 +16,6 @@ __all__ = [
     "ledger_from_tables",
     "read_section_balance",
     "restate_section_balance",
+    "save_section_balance",
     "write_section_balance",
 ]

@@ -4,20 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tallybook.schema import SECTION_BALANCE, conform, ddl
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    """The rebalance keeps one year in as few files as its size allows and splits a year
+    that is much larger than the others."""
+    out = conform(df, SECTION_BALANCE).hint("rebalance", F.col("year"))
+    return out.write.mode("overwrite").partitionBy("year")
+
+
 def write_section_balance(df: DataFrame, path: str) -> None:
     """Replace the table at ``path``.
 
-    The rebalance keeps one year in as few files as its size allows and splits a year
-    that is much larger than the others. Entries without a date land in the default
-    partition and read back with a NULL year.
+    Entries without a date land in the default partition and read back with a NULL year.
     """
-    out = conform(df, SECTION_BALANCE).hint("rebalance", F.col("year"))
-    out.write.mode("overwrite").partitionBy("year").parquet(path)
+    _writer(df).parquet(path)
+
+
+def save_section_balance(df: DataFrame, table: str) -> None:
+    """Replace the catalog table ``table``; read it with ``spark.table``."""
+    _writer(df).saveAsTable(table, format="parquet")
 
 
 def read_section_balance(spark: SparkSession, path: str) -> DataFrame:

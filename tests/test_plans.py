@@ -1,6 +1,7 @@
 """What the plans must look like for a journal that is far larger than memory."""
 
 import re
+from contextlib import contextmanager
 from decimal import Decimal as D
 
 import pytest
@@ -8,6 +9,7 @@ import pytest
 import __spark_entry__ as contract
 from tallybook import operators as ops
 from tallybook.operators.balances import account_totals, posted_lines
+from tallybook.session import cluster_settings
 from tallybook.sources import Ledger, ledger_from_files, ledger_from_orders, ledger_from_tables
 from tests.ledgers import TABLES, book
 from tests.test_section_balance import CASH, DAY, LOANS, REVENUE
@@ -83,44 +85,80 @@ def save_as_files(spark, ledger: Ledger, path: str) -> None:
         df.write.parquet(f"{path}/{name}")
 
 
-def test_hot_entry_is_split(spark, large_tables, tmp_path):
-    """One entry holds a third of all lines; its partition is read by several tasks."""
-    small = book([REVENUE, CASH, LOANS], [(1, 101, 0), (3, 0, 151), (4, 0, 154)], [])
-    base = small.ledger(spark)
-    n = 300_000
-    lines = spark.range(n, numPartitions=8).selectExpr(
+@contextmanager
+def settings(spark, values):
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in values:
+            spark.conf.unset(name)
+
+
+N_LINES = 300_000
+
+
+@pytest.fixture(scope="module")
+def skewed_journal(spark, tmp_path_factory):
+    """A journal on disk in which one entry holds a third of all lines."""
+    path = str(tmp_path_factory.mktemp("skewed"))
+    base = book([REVENUE, CASH, LOANS], [(1, 101, 0), (3, 0, 151), (4, 0, 154)], []).ledger(spark)
+    lines = spark.range(N_LINES, numPartitions=8).selectExpr(
         "IF(id % 3 = 0, 7, id) AS journal_entry_id",
         "id % 4 AS account_id",
         "CAST(id % 1000 AS decimal(18,2)) AS debit",
         "CAST(id % 7 AS decimal(18,2)) AS credit",
     )
-    entries = spark.range(n).selectExpr(
+    entries = spark.range(N_LINES).selectExpr(
         "id AS journal_entry_id", f"DATE'{DAY}' AS entry_date", "CAST(0 AS tinyint) AS cancelled"
     )
-    save_as_files(spark, Ledger(base.account, base.section, entries, lines), str(tmp_path))
-    settings = {
+    save_as_files(spark, Ledger(base.account, base.section, entries, lines), path)
+    return path
+
+
+def skewed_totals():
+    return {
+        a: (
+            D(sum(i % 1000 for i in range(a, N_LINES, 4))),
+            D(sum(i % 7 for i in range(a, N_LINES, 4))),
+        )
+        for a in range(4)
+    }
+
+
+@pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
+def test_hot_entry_is_split(spark, large_tables, skewed_journal, join):
+    """Several tasks share the partition of the entry that holds a third of the lines."""
+    values = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        totals = account_totals(posted_lines(ledger_from_files(spark, str(tmp_path))))
+    if join == "ShuffledHashJoin":
+        values["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"] = "10MB"
+    with settings(spark, values):
+        totals = account_totals(posted_lines(ledger_from_files(spark, skewed_journal)))
         plan = final_plan(totals)
         got = {r.account_id: (r.debit, r.credit) for r in totals.collect()}
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-    assert "SortMergeJoin(skew=true)" in plan
-    assert got == {
-        a: (
-            D(sum(i % 1000 for i in range(a, n, 4))),
-            D(sum(i % 7 for i in range(a, n, 4))),
-        )
-        for a in range(4)
-    }
+    assert f"{join}(skew=true)" in plan
+    assert got == skewed_totals()
+
+
+def test_cluster_settings_avoid_the_sort(spark, large_tables, skewed_journal):
+    with settings(spark, cluster_settings(10**9)):
+        totals = account_totals(posted_lines(ledger_from_files(spark, skewed_journal)))
+        plan = final_plan(totals)
+        got = {r.account_id: (r.debit, r.credit) for r in totals.collect()}
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got == skewed_totals()
+
+
+def test_cluster_settings_follow_the_data():
+    def partitions(shuffle_bytes):
+        return cluster_settings(shuffle_bytes)["spark.sql.shuffle.partitions"]
+
+    assert [partitions(b) for b in (0, 2**40, 2**50)] == ["200", "8192", "50000"]
 
 
 def test_bucketed_journal_is_joined_in_place(spark, large_tables, tmp_path):

@@ -11,6 +11,7 @@ from tallybook.sources import (
     ledger_from_files,
     read_section_balance,
     restate_section_balance,
+    save_section_balance,
     write_section_balance,
 )
 from tests.ledgers import Book, book, mart
@@ -61,6 +62,19 @@ def test_writing_again_replaces_everything(spark, tmp_path):
     assert rows(read_section_balance(spark, path)) == [(0, 1, 2017, 1, "NEW", D("1.00"))]
 
 
+def test_catalog_table_is_replaced(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE reports LOCATION '{tmp_path}'")
+    try:
+        for year in (2016, 2017):
+            m = mart(spark, [(0, 1, y, 1, "REVENUE", D(1)) for y in (year, None)])
+            save_section_balance(m, "reports.section_balance")
+        stored = spark.table("reports.section_balance").select(*m.columns)
+        assert stored.schema.simpleString() == m.schema.simpleString()
+        assert rows(stored) == rows(m)
+    finally:
+        spark.sql("DROP DATABASE reports CASCADE")
+
+
 def test_a_year_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "mart")
     write_section_balance(mart(spark, [(0, 1, y, 1, "R", D(1)) for y in (2015, 2016)]), path)
