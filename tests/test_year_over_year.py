@@ -8,13 +8,14 @@ from tallybook import schema
 from tallybook.chart import STANDARD
 from tallybook.operators import statement_spine
 from tallybook.plans import (
+    balance_sheet,
     bs_year_over_year,
     bs_year_over_year_formatted,
     pl_year_over_year,
     pl_year_over_year_formatted,
 )
 from tests.ledgers import frame, mart
-from tests.test_statements import bs, pl
+from tests.test_statements import bs, pl, printed
 
 SECTIONS = [
     (1, 0, 1, 1, "P1"),
@@ -155,6 +156,16 @@ def test_lines_outside_the_spine_do_not_print(spark):
     assert {r.b2015 for r in rows if r.company_id == 1 and r.line_label == "NET PROFIT"} == {5}
 
 
+def test_section_with_another_flag(spark):
+    """The spine takes any non-zero flag, the balances only flag 1."""
+    s = section(spark, [(1, 2, 1, 1, "B1")])
+    m = mart(spark, [(2, 1, 2015, 1, "B1", D(5)), bs(2, 3, 2015)])
+    rows = by_label(bs_year_over_year(m, s, 1, [2015, 2016]))
+    assert rows["  B1"].b2015 == 0
+    assert rows["TOTAL ASSETS"].b2015 == D("3.00")
+    assert [line[0] for line in printed(balance_sheet(m, 1, 2015))][1] == "  B2"
+
+
 def test_all_companies_equal_the_single_reports(spark):
     m = mart(spark, [f(o, o * c, y, c) for f in (pl, bs) for o in (1, 4) for c in (1, 2)
                      for y in (2015, 2016)])
