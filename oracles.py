@@ -31,7 +31,7 @@ statement_section AS (
          ord AS statement_section_order, label AS statement_section
   FROM range(1, 6) AS companies(c), caption
   UNION ALL
-  SELECT 0, 0, 0, 0, 'UNASSIGNED'
+  SELECT 0, CAST(0 AS TINYINT), 0, 0, 'UNASSIGNED'
 ),
 account AS (
   SELECT statement_section_id AS account_id,
@@ -243,6 +243,7 @@ _ONE_BS = f"company_id = {COMPANY} AND year = {BS_YEAR}"
 _ONE_BS_PERIOD = (
     f"(SELECT CAST({COMPANY} AS INTEGER) AS company_id, CAST({BS_YEAR} AS INTEGER) AS year)"
 )
+_BS_AMOUNTS = "(SELECT * FROM bs_detail UNION ALL SELECT * FROM bs_total)"
 _ALL_BS_PERIODS = f"(SELECT DISTINCT company_id, year FROM bs WHERE {_KNOWN})"
 _ONE_COMPANY = f"s.company_id = {COMPANY}"
 
@@ -258,15 +259,11 @@ FROM ratio""",
     "pl_statement": _statement("pl_lines", _ONE_PL),
     "pl_statement_all": _statement("pl_lines", _KNOWN),
     "pl_statement_formatted": _statement("pl_lines", _ONE_PL, text=True),
-    "balance_sheet": _statement("(SELECT * FROM bs_detail UNION ALL SELECT * FROM bs_total)", _ONE_BS)
+    "balance_sheet": _statement(_BS_AMOUNTS, _ONE_BS)
     + _captions(_ONE_BS_PERIOD, "CAST(NULL AS DECIMAL(28, 2))"),
-    "balance_sheet_all": _statement(
-        "(SELECT * FROM bs_detail UNION ALL SELECT * FROM bs_total)", _KNOWN
-    )
+    "balance_sheet_all": _statement(_BS_AMOUNTS, _KNOWN)
     + _captions(_ALL_BS_PERIODS, "CAST(NULL AS DECIMAL(28, 2))"),
-    "balance_sheet_formatted": _statement(
-        "(SELECT * FROM bs_detail UNION ALL SELECT * FROM bs_total)", _ONE_BS, text=True
-    )
+    "balance_sheet_formatted": _statement(_BS_AMOUNTS, _ONE_BS, text=True)
     + _captions(_ONE_BS_PERIOD, "''"),
     "balance_check": """
 SELECT *, CASE WHEN ROUND(total_assets, 0) = ROUND(total_liabilities_and_equity, 0)

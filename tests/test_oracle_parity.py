@@ -28,5 +28,13 @@ def test_query(spark, duck, key):
     assert assert_same(QUERIES[key](spark, SF_DIR), duck, ORACLES[key]) > 0
 
 
+@pytest.mark.parametrize("key", QUERIES)
+def test_column_types(spark, duck, key):
+    names = {"string": "VARCHAR", "int": "INTEGER"}
+    got = {c: names.get(t, t.upper()) for c, t in QUERIES[key](spark, SF_DIR).dtypes}
+    described = duck.execute(f"DESCRIBE {ORACLES[key]}").fetchall()
+    assert got == {row[0]: str(row[1]) for row in described}
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 35

@@ -9,9 +9,17 @@ import pytest
 import __spark_entry__ as contract
 from tallybook import operators as ops
 from tallybook.operators.balances import account_totals, posted_lines
+from tallybook.plans import balance_sheet
 from tallybook.session import cluster_settings
-from tallybook.sources import Ledger, ledger_from_files, ledger_from_orders, ledger_from_tables
-from tests.ledgers import TABLES, book
+from tallybook.sources import (
+    Ledger,
+    ledger_from_files,
+    ledger_from_orders,
+    ledger_from_tables,
+    read_section_balance,
+    write_section_balance,
+)
+from tests.ledgers import TABLES, book, mart
 from tests.test_section_balance import CASH, DAY, LOANS, REVENUE
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -65,9 +73,24 @@ def test_the_journal_shrinks_before_any_other_shuffle(spark, large_tables):
 
 def test_scans_read_only_the_used_columns(spark):
     plan = final_plan(ops.build_section_balance(ledger_from_orders(spark, SF_DIR)))
-    assert (
-        "FileScan parquet [l_orderkey" in plan and "l_quantity" not in plan and "o_custkey" not in plan
+    assert "FileScan parquet [l_orderkey" in plan and "FileScan parquet [o_orderkey" in plan
+    assert "l_quantity" not in plan and "o_custkey" not in plan
+
+
+def test_reports_prune_the_stored_table(spark, tmp_path):
+    """A statement reads one year partition and pushes the company down, in every branch."""
+    path = str(tmp_path / "mart")
+    write_section_balance(
+        mart(spark, [(1, c, y, 1, "B1", D(c)) for c in (1, 2) for y in (2015, 2016)]), path
     )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = initial_plan(balance_sheet(read_section_balance(spark, path), 1, 2016))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    for scan in scans:
+        assert re.search(r"PartitionFilters: \[isnotnull\(year#\d+\), \(year#\d+ = 2016\)\]", scan)
+        assert "EqualTo(company_id,1)" in scan and "EqualTo(is_balance_sheet_section,1)" in scan
 
 
 def test_selected_years_reach_the_scan(spark):
