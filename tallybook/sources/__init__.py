@@ -1,6 +1,11 @@
 """Ledger inputs and the section-balance table."""
 
-from tallybook.sources.ledger import Ledger, ledger_from_files, ledger_from_tables
+from tallybook.sources.ledger import (
+    Ledger,
+    ledger_from_files,
+    ledger_from_reader,
+    ledger_from_tables,
+)
 from tallybook.sources.mart import (
     read_section_balance,
     restate_section_balance,
@@ -13,6 +18,7 @@ __all__ = [
     "Ledger",
     "ledger_from_files",
     "ledger_from_orders",
+    "ledger_from_reader",
     "ledger_from_tables",
     "read_section_balance",
     "restate_section_balance",

@@ -35,7 +35,12 @@ class Ledger:
         return schema.conform(self.postings(self.line), schema.JOURNAL_ENTRY_LINE_ITEM)
 
 
-def _ledger(read: Callable[[str], DataFrame]) -> Ledger:
+def ledger_from_reader(read: Callable[[str], DataFrame]) -> Ledger:
+    """Read the four tables with ``read(name)``, for instance over JDBC.
+
+    A JDBC reader should split the two journal tables by ``journal_entry_id``
+    (``column``, ``lowerBound``, ``upperBound``, ``numPartitions``).
+    """
     return Ledger(
         account=schema.conform(read("account"), schema.ACCOUNT),
         section=schema.conform(read("statement_section"), schema.STATEMENT_SECTION),
@@ -44,12 +49,18 @@ def _ledger(read: Callable[[str], DataFrame]) -> Ledger:
     )
 
 
-def ledger_from_tables(spark: SparkSession, database: str | None = None) -> Ledger:
-    """Read the four catalog tables of ``database`` (default: the current one)."""
+def ledger_from_tables(
+    spark: SparkSession, database: str | None = None, **tables: str
+) -> Ledger:
+    """Read the four catalog tables of ``database`` (default: the current one).
+
+    A table that lives elsewhere is named by keyword:
+    ``ledger_from_tables(spark, "books", account="master.account")``.
+    """
     prefix = "" if database is None else f"{database}."
-    return _ledger(lambda name: spark.table(prefix + name))
+    return ledger_from_reader(lambda name: spark.table(tables.get(name, prefix + name)))
 
 
 def ledger_from_files(spark: SparkSession, path: str, fmt: str = "parquet") -> Ledger:
     """Read ``path/<table>`` for the four tables, e.g. Parquet or ORC directories."""
-    return _ledger(lambda name: spark.read.format(fmt).load(f"{path}/{name}"))
+    return ledger_from_reader(lambda name: spark.read.format(fmt).load(f"{path}/{name}"))

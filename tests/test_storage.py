@@ -9,6 +9,8 @@ import pytest
 from tallybook.operators import build_section_balance
 from tallybook.sources import (
     ledger_from_files,
+    ledger_from_reader,
+    ledger_from_tables,
     read_section_balance,
     restate_section_balance,
     save_section_balance,
@@ -120,6 +122,50 @@ def test_ledger_from_files(spark, tmp_path, fmt):
     assert rows(build_section_balance(stored)) == rows(build_section_balance(ledger))
 
 
+def test_ledger_from_several_databases(spark, tmp_path):
+    ledger = ledger_book(y2015=1, y2016=2).ledger(spark)
+    spark.sql(f"CREATE DATABASE master LOCATION '{tmp_path}/master'")
+    spark.sql(f"CREATE DATABASE journal LOCATION '{tmp_path}/journal'")
+    try:
+        ledger.account.write.saveAsTable("master.accounts")
+        ledger.section.write.saveAsTable("master.statement_section")
+        ledger.entry.write.saveAsTable("journal.journal_entry")
+        ledger.line.write.saveAsTable("journal.journal_entry_line_item")
+        stored = ledger_from_tables(
+            spark,
+            "journal",
+            account="master.accounts",
+            statement_section="master.statement_section",
+        )
+        assert rows(build_section_balance(stored)) == rows(build_section_balance(ledger))
+    finally:
+        spark.sql("DROP DATABASE master CASCADE")
+        spark.sql("DROP DATABASE journal CASCADE")
+
+
+def test_ledger_from_reader_drops_and_casts_columns(spark):
+    """Columns of other types, in another order and with extras, as another system has them."""
+    ledger = ledger_book(y2015=1).ledger(spark)
+    entry = ledger.entry.selectExpr(
+        "'memo' AS memo",
+        "CAST(cancelled AS string) AS cancelled",
+        "CAST(entry_date AS timestamp) AS entry_date",
+        "CAST(journal_entry_id AS int) AS journal_entry_id",
+    )
+    line = ledger.line.selectExpr(
+        "1 AS extra", "journal_entry_id", "account_id", "CAST(debit AS double) AS debit", "credit"
+    )
+    tables = {
+        "account": ledger.account,
+        "statement_section": ledger.section,
+        "journal_entry": entry,
+        "journal_entry_line_item": line,
+    }
+    read = ledger_from_reader(tables.__getitem__)
+    assert read.entry.columns == ledger.entry.columns
+    assert rows(build_section_balance(read)) == rows(build_section_balance(ledger))
+
+
 def test_a_table_without_a_needed_column_is_refused(spark, tmp_path):
     ledger = ledger_book(y2015=1).ledger(spark)
     save_as_files(spark, ledger, str(tmp_path))
