@@ -24,7 +24,6 @@ def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MEGABYTE),
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MEGABYTE),
         "spark.sql.shuffle.partitions": str(min(max(partitions, 200), 50_000)),

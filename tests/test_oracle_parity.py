@@ -4,7 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import oracles
+from tallybook.sources import ledger_from_orders
 from tests.compare import assert_same
+from tests.ledgers import TABLES
 
 SF_DIR = "/root/testdata/sf0.01"
 QUERIES = contract.queries()
@@ -19,6 +22,22 @@ def duck():
     return con
 
 
+@pytest.mark.parametrize(
+    "table", ["account", "statement_section", "journal_entry", "journal_entry_line_item"]
+)
+def test_derived_ledger(spark, duck, table):
+    ledger = ledger_from_orders(spark, SF_DIR)
+    df = {
+        "account": ledger.account,
+        "statement_section": ledger.section,
+        "journal_entry": ledger.entry,
+        "journal_entry_line_item": ledger.line_items(),
+    }[table]
+    assert df.columns == list(TABLES[table])
+    sql = f"WITH {oracles.LEDGER} t AS (SELECT * FROM {table}) SELECT * FROM t"
+    assert assert_same(df, duck, sql) >= 100
+
+
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
 
