@@ -9,24 +9,28 @@ from pyspark.sql import SparkSession
 MEGABYTE = 1024 * 1024
 
 
-def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
-    """Settings for a journal whose large join shuffles about ``shuffle_bytes``.
+def cluster_settings(journal_bytes: int) -> dict[str, str]:
+    """Settings for a journal whose used columns take about ``journal_bytes`` on disk.
 
-    The partition count has to fit the data before the shuffle is written: adaptive
-    execution merges small partitions afterwards, but of large ones it splits only the
-    skewed. Beyond 50,000 the bookkeeping of map outputs costs more than larger partitions.
+    The large join shuffles about as much. Its partition count has to fit before the
+    shuffle is written: adaptive execution merges small partitions afterwards, but of large
+    ones it splits only the skewed. Scan tasks and partitions are both bounded, because
+    every scan task writes one block per partition: a larger journal makes tasks larger
+    (up to 1 GB) before it makes their number unmanageable.
 
     The hash-join threshold lets adaptive execution replace the sort-merge join, so that
     the lines need no sort, once every partition of the entries is known to fit a hash
     table. It has to be at least the advisory partition size to take effect.
     """
-    partitions = math.ceil(shuffle_bytes / (128 * MEGABYTE))
+    partitions = min(max(math.ceil(journal_bytes / (128 * MEGABYTE)), 200), 50_000)
+    scan_bytes = min(max(math.ceil(journal_bytes / 50_000), 128 * MEGABYTE), 1024 * MEGABYTE)
     return {
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MEGABYTE),
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MEGABYTE),
-        "spark.sql.shuffle.partitions": str(min(max(partitions, 200), 50_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
     }
 
 

@@ -178,10 +178,9 @@ def test_cluster_settings_avoid_the_sort(spark, large_tables, skewed_journal):
 
 
 def test_cluster_settings_follow_the_data():
-    def partitions(shuffle_bytes):
-        return cluster_settings(shuffle_bytes)["spark.sql.shuffle.partitions"]
-
-    assert [partitions(b) for b in (0, 2**40, 2**50)] == ["200", "8192", "50000"]
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    got = [tuple(int(cluster_settings(b)[n]) for n in names) for b in (0, 2**40, 10**13, 2**50)]
+    assert got == [(200, 2**27), (8192, 2**27), (50_000, 200_000_000), (50_000, 2**30)]
 
 
 def test_bucketed_journal_is_joined_in_place(spark, large_tables, tmp_path):

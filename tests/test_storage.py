@@ -6,7 +6,8 @@ from decimal import Decimal as D
 
 import pytest
 
-from tallybook.operators import build_section_balance
+from tallybook.operators import balance_check, build_section_balance
+from tallybook.plans import balance_sheet, pl_statement
 from tallybook.sources import (
     ledger_from_files,
     ledger_from_reader,
@@ -172,3 +173,11 @@ def test_a_table_without_a_needed_column_is_refused(spark, tmp_path):
     ledger.entry.drop("cancelled").write.mode("overwrite").parquet(str(tmp_path / "journal_entry"))
     with pytest.raises(ValueError, match="cancelled"):
         ledger_from_files(spark, str(tmp_path))
+
+
+def test_empty_journal(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    write_section_balance(build_section_balance(ledger_book().ledger(spark)), path)
+    stored = read_section_balance(spark, path)
+    assert rows(stored) == rows(pl_statement(stored)) == rows(balance_check(stored)) == []
+    assert len(rows(balance_sheet(stored, 1, 2016))) == 4
