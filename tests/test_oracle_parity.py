@@ -10,8 +10,8 @@ from tests.compare import assert_same
 from tests.ledgers import TABLES
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = contract.ledger_queries()
+ORACLES = {key: sql for key, sql in contract.oracle_sql().items() if key in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -23,7 +23,7 @@ from tests.ledgers import TABLES, book, mart
 from tests.test_section_balance import CASH, DAY, LOANS, REVENUE
 
 SF_DIR = "/root/testdata/sf0.001"
-FACT_QUERIES = [key for key in contract.queries() if not key.startswith("statement_spine")]
+FACT_QUERIES = [key for key in contract.ledger_queries() if not key.startswith("statement_spine")]
 
 
 def final_plan(df) -> str:
@@ -46,14 +46,14 @@ def large_tables(spark):
 
 @pytest.mark.parametrize("key", FACT_QUERIES)
 def test_the_journal_is_read_once(spark, key):
-    plan = final_plan(contract.queries()[key](spark, SF_DIR))
+    plan = final_plan(contract.ledger_queries()[key](spark, SF_DIR))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
     assert len(re.findall(r"FileScan parquet \[o_orderkey", plan)) == 1
 
 
-@pytest.mark.parametrize("key", contract.queries())
+@pytest.mark.parametrize("key", contract.ledger_queries())
 def test_only_equi_joins_and_no_python(spark, large_tables, key):
-    plan = initial_plan(contract.queries()[key](spark, SF_DIR))
+    plan = initial_plan(contract.ledger_queries()[key](spark, SF_DIR))
     for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "ExistingRDD"):
         assert operator not in plan
     assert "BroadcastHashJoin" not in plan, "a broadcast that no size check allowed"
