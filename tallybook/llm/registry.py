@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.entropy_mix import Mix, mix_sources
 from tallybook.llm.html_text import extract_main_text
+from tallybook.llm.repeated_windows import remove_repeated_windows
 from tallybook.llm.ring_shards import Ring, ring_shards
 from tallybook.llm.secret_scan import SecretScan, find_secrets
 from tallybook.llm.token_lengths import length_histogram, with_suffix_sums
@@ -49,6 +50,11 @@ def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_suffix_sums(length_histogram(docs, VOCABULARY, PATTERN))
 
 
+def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = remove_repeated_windows(_table(spark, sf_dir, "documents"), window=13)
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -58,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_secret_scan,
             op5_ring_shards,
             op6_token_lengths,
+            op8_repeated_windows,
         )
     }
 

@@ -65,3 +65,15 @@ def per_batch(
                 yield function(batch)
 
     return run
+
+
+def of_group(function: Callable[..., pa.Table], **given) -> Callable[[tuple, pa.Table], pa.Table]:
+    """``function`` of a key and a table, as groupBy().applyInArrow takes it."""
+    return lambda key, table: function(key, table, **given)
+
+
+def of_cogroup(
+    function: Callable[..., pa.Table], **given
+) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """``function`` of a key and two tables, as cogroup().applyInArrow takes it."""
+    return lambda key, left, right: function(key, left, right, **given)
