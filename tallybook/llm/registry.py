@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.entropy_mix import Mix, mix_sources
 from tallybook.llm.html_text import extract_main_text
+from tallybook.llm.jaccard_join import Join, similar_components
 from tallybook.llm.repeated_windows import remove_repeated_windows
 from tallybook.llm.ring_shards import Ring, ring_shards
 from tallybook.llm.secret_scan import SecretScan, find_secrets
@@ -55,6 +56,10 @@ def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(_table(spark, sf_dir, "documents"), Join(words=5, percent=80))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_ring_shards,
             op6_token_lengths,
             op8_repeated_windows,
+            op10_jaccard_join,
         )
     }
 
