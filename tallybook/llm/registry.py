@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.entropy_mix import Mix, mix_sources
 from tallybook.llm.html_text import extract_main_text
 from tallybook.llm.jaccard_join import Join, similar_components
+from tallybook.llm.near_vectors import Buckets, link_vectors
 from tallybook.llm.repeated_windows import remove_repeated_windows
 from tallybook.llm.ring_shards import Ring, ring_shards
 from tallybook.llm.secret_scan import SecretScan, find_secrets
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(_table(spark, sf_dir, "embeddings"), Buckets(cosine=0.98))
+
+
 def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"), Mix())
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_near_vectors,
             op2_entropy_mix,
             op3_html_text,
             op4_secret_scan,
