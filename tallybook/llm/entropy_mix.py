@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.shared import checkpointed, n_words, require_columns
 
+#: Columns that the mix adds.
+MIXED_COLUMNS = ("size", "source_size", "target", "copies", "taken")
+
 
 @dataclass(frozen=True)
 class Mix:
@@ -271,11 +274,8 @@ def rates_to_copies(docs: DataFrame, tilts: DataFrame, mix: Mix) -> DataFrame:
     )
     one_more = F.col("queued") & F.expr("exists(cuts, c -> size <= c.limit and turn < c.cut)")
     copies = F.col("floor") + one_more.cast("long")
-    kept = [c for c in docs.columns if c not in _NEW]
+    kept = [c for c in docs.columns if c not in MIXED_COLUMNS]
     return mixed.withColumn("copies", copies.cast("long")).select(
         *kept, "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
-
-
-_NEW = ("size", "source_size", "target", "copies", "taken")

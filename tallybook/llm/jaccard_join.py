@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.chunks import (
@@ -381,8 +381,13 @@ def _postings(sets: DataFrame, edges: DataFrame | None) -> DataFrame:
     return labelled.select("key", "n", "ell", "component", F.explode("prefix").alias("token"))
 
 
+def text_key(text: str) -> Column:
+    """What equal texts have in common."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
+    """(doc_id, text_key, n_shingles, component_id) of every row.
 
     Words are separated by ASCII white space and compared with A-Z in lower case. A document's
     set has its n-grams of words; a document with fewer words is one n-gram, and one without
@@ -398,7 +403,7 @@ def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     # and hashes alone, so that copies of a text are dealt to chunks like any other rows.
     keyed = docs.select(
         "doc_id",
-        F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("key"),
+        text_key("text").alias("key"),
         "text",
         chunk_of(count, "doc_id", "text").alias("chunk"),
     )
@@ -470,10 +475,7 @@ def _with_components(described: DataFrame, ids: DataFrame, edges: DataFrame) ->
         F.coalesce("component", "key").alias("component"),
     )
     smallest = nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return nodes.join(smallest, "component").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
-    ).unionByName(
-        described.where("n = 0").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
-        )
-    )
+    linked = nodes.join(smallest, "component")
+    alone = described.where("n = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), "component_id"]
+    return linked.select(*columns).unionByName(alone.select(*columns))

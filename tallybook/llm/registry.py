@@ -16,6 +16,8 @@ from tallybook.llm.repeated_windows import remove_repeated_windows
 from tallybook.llm.ring_shards import Ring, ring_shards
 from tallybook.llm.secret_scan import SecretScan, find_secrets
 from tallybook.llm.token_lengths import length_histogram, with_suffix_sums
+from tallybook.llm.template_leaks import Leaks, find_leaks
+from tallybook.llm.toxic_kernel import Kernel, fit, score_documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -56,13 +58,31 @@ def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_suffix_sums(length_histogram(docs, VOCABULARY, PATTERN))
 
 
+def op7_toxic_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = score_documents(docs.select("doc_id", "text"), fit(docs, labels, Kernel()))
+    return scored.select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = remove_repeated_windows(_table(spark, sf_dir, "documents"), window=13)
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = find_leaks(docs, items, Leaks(window=8, words=13))
+    return found.select("doc_id", "item_id", "n_words", "item_words", "exact")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_components(_table(spark, sf_dir, "documents"), Join(words=5, percent=80))
+    found = similar_components(_table(spark, sf_dir, "documents"), Join(words=5, percent=80))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -75,7 +95,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_secret_scan,
             op5_ring_shards,
             op6_token_lengths,
+            op7_toxic_kernel,
             op8_repeated_windows,
+            op9_template_leaks,
             op10_jaccard_join,
         )
     }
