@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallybook.chart import STANDARD, Chart, listed, order_in
 from tallybook.functions import exact_sum, row
-from tallybook.schema import AMOUNT, MONEY, SECTION_BALANCE
+from tallybook.schema import AMOUNT, JOURNAL_ENTRY_LINE_ITEM, MONEY, SECTION_BALANCE, conform
 from tallybook.sources.ledger import Ledger
 
 _KEYS = [name for name in SECTION_BALANCE if name != "balance"]
@@ -22,35 +22,46 @@ _NET = "coalesce(debit, 0) - coalesce(credit, 0)"
 _PL_LINK = "nullif(profit_loss_section_id, 0)"
 
 
-def posted_lines(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
+def posted_lines(
+    ledger: Ledger, years: Sequence[int] | None = None, company_id: int | None = None
+) -> DataFrame:
     """Lines of live entries: account_id, year, debit, credit.
 
+    With ``company_id``, lines of other companies are left out before the join where the
+    ledger can tell them apart; some may still come.
+
     Neither side of this join has a size bound, so it carries no broadcast hint: Spark
     broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
     execution splits an entry that holds a large share of the lines.
     """
     live = "cancelled = 0"
     if years is not None:
+        if not years:
+            raise ValueError("years is empty; None means all years")
         # The date range reaches the file scan, which year(entry_date) would not.
         live += (
             f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
             f" AND year(entry_date) IN ({listed(years)})"
         )
     entry = ledger.entry.where(live).selectExpr("journal_entry_id", "year(entry_date) AS year")
-    joined = ledger.line.join(entry, "journal_entry_id")
-    return ledger.postings(joined).selectExpr(
-        "account_id",
-        "year",
-        f"CAST(debit AS {AMOUNT}) AS debit",
-        f"CAST(credit AS {AMOUNT}) AS credit",
-    )
+    joined = ledger.lines_of(company_id).join(entry, "journal_entry_id")
+    columns = {name: JOURNAL_ENTRY_LINE_ITEM[name] for name in ("account_id", "debit", "credit")}
+    return conform(ledger.postings(joined), {**columns, "year": "int"})
 
 
 def account_totals(posted: DataFrame) -> DataFrame:
-    """Debit and credit per (account, year); a side without any amount is NULL."""
-    return posted.groupBy("account_id", "year").agg(
-        F.expr(exact_sum("debit")).alias("debit"), F.expr(exact_sum("credit")).alias("credit")
-    )
+    """Debit and credit per (account, year); a side without any amount is NULL.
+
+    Amounts that are no decimal(18,2) are summed as they are, at their own scale.
+    """
+    if posted.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("sums need spark.sql.ansi.enabled: without it, overflows pass silently")
+    types = dict(posted.dtypes)
+    sums = [
+        F.expr(exact_sum(side) if types[side] == AMOUNT else f"sum({side})").alias(side)
+        for side in ("debit", "credit")
+    ]
+    return posted.groupBy("account_id", "year").agg(*sums)
 
 
 def _signed_debit(chart: Chart) -> str:
@@ -100,10 +111,15 @@ def bs_section_balance(ledger: Ledger, years: Sequence[int] | None = None) -> Da
 
 
 def build_section_balance(
-    ledger: Ledger, chart: Chart = STANDARD, years: Sequence[int] | None = None
+    ledger: Ledger,
+    chart: Chart = STANDARD,
+    years: Sequence[int] | None = None,
+    company_id: int | None = None,
 ) -> DataFrame:
     """The union, without duplicates, of both kinds of section balance.
 
+    With ``company_id``, only the balances of that company, and only its lines are joined.
+
     One pass: an account offers each of its links as a row, and one aggregation sums both
     kinds side by side. A section reached through both links yields two rows that differ
     in ``balance`` only, or one row if the balances are equal.
@@ -111,10 +127,13 @@ def build_section_balance(
     pl = row(is_pl="true", statement_section_id=_PL_LINK)
     bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
     links = ledger.account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
+    section = ledger.section
+    if company_id is not None:
+        section = section.where(f"company_id = {int(company_id)}")
     summed = (
-        account_totals(posted_lines(ledger, years))
+        account_totals(posted_lines(ledger, years, company_id))
         .join(links, "account_id")
-        .join(ledger.section, "statement_section_id")
+        .join(section, "statement_section_id")
         .where("is_pl OR statement_section_order != 0")
         .groupBy(*_KEYS)
         .agg(

@@ -9,6 +9,9 @@ from tallybook.functions import indent, quoted, row
 from tallybook.schema import LINE_ORDER
 
 
+_LINES = f"array<struct<line_order:{LINE_ORDER},line_label:string>>"
+
+
 def _line(position: str, label: str) -> str:
     return row(line_order=f"CAST({position} AS {LINE_ORDER})", line_label=label)
 
@@ -16,19 +19,19 @@ def _line(position: str, label: str) -> str:
 def spine_rows(section: DataFrame, company_id: int | None, statement: Statement) -> DataFrame:
     """``statement_spine`` before duplicates are removed."""
     calculated = [(t.line_order, t.label) for t in statement.totals] + list(statement.captions)
-    fixed = ", ".join(_line(position, quoted(label)) for position, label in calculated)
+    fixed = [_line(position, quoted(label)) for position, label in calculated]
     own = _line("statement_section_order", indent("statement_section"))
 
     flag = "!= 0" if statement.is_balance_sheet else "= 0"
     sections = section.where(f"is_balance_sheet_section {flag}")
     if company_id is None:
         sections = sections.where("company_id IS NOT NULL")
-        return sections.selectExpr("company_id", f"inline(array({own}, {fixed}))")
+        return sections.selectExpr("company_id", f"inline(array({', '.join([own, *fixed])}))")
     rows = sections.where(f"company_id = {int(company_id)}").selectExpr(
         "company_id", f"inline(array({own}))"
     )
     always = section.sparkSession.sql(
-        f"SELECT {int(company_id)} AS company_id, inline(array({fixed}))"
+        f"SELECT {int(company_id)} AS company_id, inline(CAST(array({', '.join(fixed)}) AS {_LINES}))"
     )
     return rows.union(always)
 

@@ -37,9 +37,13 @@ def caption_lines(statement: Statement) -> list[str]:
     return [line(position, label, "NULL", True) for position, label in statement.captions]
 
 
-def inlined(lines: Sequence[str]) -> str:
-    """One row per line that is not NULL."""
-    return f"inline(array_compact(array({', '.join(lines)})))"
+#: What a line of a report holds.
+LINE = f"struct<line_order:{LINE_ORDER},line_label:string,balance:{MONEY},is_caption:boolean>"
+
+
+def inlined(lines: Sequence[str], kind: str = LINE) -> str:
+    """One row per line that is not NULL; ``kind`` is the type of a line."""
+    return f"inline(array_compact(CAST(array({', '.join(lines)}) AS array<{kind}>)))"
 
 
 def _sum_of(condition: str) -> str:
@@ -84,7 +88,7 @@ def _totals(mart: DataFrame, statement: Statement) -> DataFrame:
     return (
         statement_rows(mart, statement)
         .groupBy("company_id", "year")
-        .agg(*total_sums(statement.totals))
+        .agg(*total_sums(statement.totals), F.count(F.lit(1)))
         .selectExpr("company_id", "year", lines)
         .drop("is_caption")
     )

@@ -7,7 +7,7 @@ balances prints twice. Totals, the ratio and the captions come from one aggregat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tallybook.chart import STANDARD, Chart, Statement, order_in
 from tallybook.functions import format_money, indent
@@ -74,7 +74,7 @@ def _bs_lines(
     statement = chart.balance_sheet
     rows = _selected(mart, statement, company_id, year)
     totals, captions = total_lines(statement.totals), caption_lines(statement)
-    grouped = rows.groupBy(*_KEYS).agg(*total_sums(statement.totals))
+    grouped = rows.groupBy(*_KEYS).agg(*total_sums(statement.totals), F.count(F.lit(1)))
     if company_id is None or year is None:
         calculated = grouped.selectExpr(*_KEYS, inlined(totals + captions))
     else:

@@ -22,6 +22,7 @@ from tallybook.plans.statements import display_balance
 from tallybook.schema import LINE_ORDER, MONEY, RATIO
 
 _LINE = ["company_id", "line_order", "line_label"]
+_AMOUNT_LINE = f"struct<line_order:{LINE_ORDER},line_label:string,amount:{MONEY}>"
 
 
 def _amount(condition: str, position: str, label: str, amount: str) -> str:
@@ -48,7 +49,7 @@ def _line_amounts(mart: DataFrame, statement: Statement, years: Sequence[int]) -
     return (
         has_period(statement_rows(mart, statement))
         .where(f"year IN ({listed(years)})")
-        .selectExpr("company_id", "year", inlined([own, *totals]))
+        .selectExpr("company_id", "year", inlined([own, *totals], _AMOUNT_LINE))
     )
 
 
@@ -59,6 +60,8 @@ def _year_over_year(
     company_id: int | None,
     years: Sequence[int],
 ) -> DataFrame:
+    if not years:
+        raise ValueError("years is empty")
     if len(set(years)) != len(years):
         raise ValueError(f"a year is listed twice in {years}")
     amounts = _line_amounts(mart, statement, years)
@@ -86,10 +89,13 @@ def _printed(
 ) -> DataFrame:
     """``money`` and ``ratio`` are text templates for the two kinds of columns."""
     balances = [f"{money.format(f'coalesce(b{y}, 0)')} AS b{y}" for y in years]
+    steps = list(zip(years, years[1:]))
+    # Two digits of a year, unless that names two steps alike.
+    short = [f"r{a % 100:02d}to{b % 100:02d}" for a, b in steps]
+    names = short if len(set(short)) == len(short) else [f"r{a:04d}to{b:04d}" for a, b in steps]
     ratios = [
-        f"{ratio.format(change_ratio(f'b{b}', f'b{a}', missing_ratio))} "
-        f"AS r{a % 100:02d}to{b % 100:02d}"
-        for a, b in zip(years, years[1:])
+        f"{ratio.format(change_ratio(f'b{b}', f'b{a}', missing_ratio))} AS {name}"
+        for (a, b), name in zip(steps, names)
     ]
     return lines.orderBy(*_LINE).selectExpr(*_LINE, *balances, *ratios)
 

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # One journal line. Eighteen digits keep Spark on its 64-bit decimal.
 AMOUNT = "decimal(18,2)"
+# A line that is no decimal: digits enough for what a double tells apart.
+FINE_AMOUNT = "decimal(30,10)"
 # Sums of lines. A section that holds a third of 10^12 lines passes 10^16, which
 # decimal(18,2) cannot store; decimal(28,2) is what sum(decimal(18,2)) returns.
 MONEY = "decimal(28,2)"
 # Wide enough for the largest MONEY divided by one cent.
 RATIO = "decimal(38,6)"
-# Line positions such as 3.65.
-LINE_ORDER = "decimal(6,2)"
+# Line positions such as 3.65, and every section order that an int can hold.
+LINE_ORDER = "decimal(12,2)"
 
 ACCOUNT = {
     "account_id": "bigint",
@@ -59,9 +62,31 @@ def casts(columns: dict[str, str]) -> list[str]:
     return [f"CAST({name} AS {dtype}) AS {name}" for name, dtype in columns.items()]
 
 
+def amount_type(given: T.DataType) -> str:
+    """The type in which amounts of the given type are summed; none loses a digit.
+
+    Balances are rounded once, after the sum, so an amount finer than a cent is not rounded
+    here.
+    """
+    if isinstance(given, T.DecimalType):
+        fits = given.scale <= 2 and given.precision - given.scale <= 16
+        return AMOUNT if fits else given.simpleString()
+    if isinstance(given, (T.ByteType, T.ShortType, T.IntegerType, T.NullType)):
+        return AMOUNT
+    return "decimal(20,0)" if isinstance(given, T.LongType) else FINE_AMOUNT
+
+
+def with_amounts(df: DataFrame, columns: dict[str, str]) -> dict[str, str]:
+    """``columns`` with the amounts in the types that ``df`` needs."""
+    return {
+        name: amount_type(df.schema[name].dataType) if dtype == AMOUNT else dtype
+        for name, dtype in columns.items()
+    }
+
+
 def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Select and cast exactly these columns; others are never read."""
     missing = [name for name in columns if name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
-    return df.selectExpr(*casts(columns))
+    return df.selectExpr(*casts(with_amounts(df, columns)))

@@ -5,6 +5,7 @@ from tallybook.sources.ledger import (
     ledger_from_files,
     ledger_from_reader,
     ledger_from_tables,
+    merge_ledgers,
 )
 from tallybook.sources.mart import (
     read_section_balance,
@@ -20,6 +21,7 @@ __all__ = [
     "ledger_from_orders",
     "ledger_from_reader",
     "ledger_from_tables",
+    "merge_ledgers",
     "read_section_balance",
     "restate_section_balance",
     "save_section_balance",

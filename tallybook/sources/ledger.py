@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybook import schema
 
@@ -19,6 +20,10 @@ class Ledger:
     ``expand``, which turns them into one row per posting and keeps any other column.
     The rows are then joined to their entries before they are expanded, so the large
     join moves the compact rows.
+
+    ``line_company`` is SQL text for the company of a row of ``line``, where the row alone
+    tells it, for instance by the column that the journal is partitioned by. Reports for one
+    company then leave the other rows out before the large join.
     """
 
     account: DataFrame
@@ -26,6 +31,25 @@ class Ledger:
     entry: DataFrame
     line: DataFrame
     expand: Callable[[DataFrame], DataFrame] | None = None
+    line_company: str | None = None
+
+    def lines_of(self, company_id: int | None) -> DataFrame:
+        """The rows of ``line`` that a company may have; all if they do not tell."""
+        if company_id is None:
+            return self.line
+        if self.line_company is not None:
+            return self.line.where(f"({self.line_company}) = {int(company_id)}")
+        if self.expand is not None:
+            return self.line
+        # Few accounts are a company's, so this is a broadcast unless Spark finds them too many.
+        links = self.account.selectExpr(
+            "account_id",
+            "explode(array(profit_loss_section_id, balance_sheet_section_id)) "
+            "AS statement_section_id",
+        )
+        sections = self.section.where(f"company_id = {int(company_id)}")
+        accounts = links.join(sections, "statement_section_id", "left_semi")
+        return self.line.join(accounts, "account_id", "left_semi")
 
     def postings(self, lines: DataFrame) -> DataFrame:
         return lines if self.expand is None else self.expand(lines)
@@ -64,3 +88,41 @@ def ledger_from_tables(
 def ledger_from_files(spark: SparkSession, path: str, fmt: str = "parquet") -> Ledger:
     """Read ``path/<table>`` for the four tables, e.g. Parquet or ORC directories."""
     return ledger_from_reader(lambda name: spark.read.format(fmt).load(f"{path}/{name}"))
+
+
+_SECTIONS = ("statement_section_id", "profit_loss_section_id", "balance_sheet_section_id")
+_IDS = (*_SECTIONS, "account_id", "journal_entry_id")
+_ID_BITS = 47
+
+
+def merge_ledgers(ledgers: Mapping[int, Ledger]) -> Ledger:
+    """One ledger out of several databases, each with a number of its own from 0 to 65,535.
+
+    Ids are kept apart by that number in the bits above them, so ids of one database may be
+    those of another; an id of more than 47 bits raises. The section id 0, which means none,
+    stays 0. Companies are one and the same where their ids are.
+    """
+    if not ledgers:
+        raise ValueError("no ledgers to merge")
+    for number, ledger in ledgers.items():
+        if not 0 <= number < 1 << 16:
+            raise ValueError(f"a database number is out of range: {number}")
+        if ledger.expand is not None:
+            raise ValueError("expand the lines of a ledger before it is merged")
+
+    def moved(name: str, number: int) -> str:
+        outside = f"raise_error('an id needs over {_ID_BITS} bits')"
+        new = f"IF({name} BETWEEN 0 AND {(1 << _ID_BITS) - 1}, {name} + {number << _ID_BITS}L, {outside})"
+        kept = f"{name} IS NULL" + (f" OR {name} = 0" if name in _SECTIONS else "")
+        return f"IF({kept}, {name}, {new})"
+
+    def tagged(df: DataFrame, number: int) -> DataFrame:
+        return df.withColumns(
+            {name: F.expr(moved(name, number)) for name in _IDS if name in df.columns}
+        )
+
+    def merged(part: str) -> DataFrame:
+        parts = [tagged(getattr(ledger, part), number) for number, ledger in ledgers.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    return Ledger(merged("account"), merged("section"), merged("entry"), merged("line"))

@@ -13,7 +13,8 @@ def _writer(df: DataFrame) -> DataFrameWriter:
     """The rebalance keeps one year in as few files as its size allows and splits a year
     that is much larger than the others."""
     out = conform(df, SECTION_BALANCE).hint("rebalance", F.col("year"))
-    return out.write.mode("overwrite").partitionBy("year")
+    # The whole table, whatever the session says about partitions.
+    return out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year")
 
 
 def write_section_balance(df: DataFrame, path: str) -> None:

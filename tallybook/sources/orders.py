@@ -2,7 +2,8 @@
 
 Every order is a journal entry and every order line posts up to three amounts: one to a
 profit-and-loss account, one to an asset and one, as a credit, to a liability or equity
-account. The supplier decides the company (1 to 5). FIXTURES.md section 2 has the mapping.
+account. Every two suppliers are a company, so companies, sections and accounts grow with the
+data. FIXTURES.md section 2 has the mapping.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from tallybook.functions import quoted, row
 from tallybook.schema import AMOUNT, STATEMENT_SECTION, casts
 from tallybook.sources.ledger import Ledger
 
-COMPANIES = 5
+# Suppliers of one company.
+SUPPLIERS = 2
 
 # Section captions by statement order.
 PROFIT_LOSS_LABELS = (
@@ -48,19 +50,27 @@ _LINEITEM = (
 )
 
 
-def _sections(spark: SparkSession) -> DataFrame:
-    sections = [(0, 0, 0, 0, "UNASSIGNED")]
-    for company in range(1, COMPANIES + 1):
-        for flag, labels in enumerate((PROFIT_LOSS_LABELS, BALANCE_SHEET_LABELS)):
-            for order, label in enumerate(labels, start=1):
-                section_id = company * 100 + flag * 50 + order
-                sections.append((section_id, flag, company, order, label))
-    values = ", ".join(f"({', '.join(map(str, s[:-1]))}, {quoted(s[-1])})" for s in sections)
-    # A literal relation: Spark knows its size, so it needs no broadcast hint.
-    return spark.sql(
-        f"SELECT {', '.join(casts(STATEMENT_SECTION))} "
-        f"FROM VALUES {values} AS s({', '.join(STATEMENT_SECTION)})"
+def _company(supplier: str) -> str:
+    return f"1 + {supplier} DIV {SUPPLIERS}"
+
+
+def _sections(spark: SparkSession, path: str) -> DataFrame:
+    """Every section of every company that has a supplier, and one that means no section."""
+    supplier = spark.read.schema("s_suppkey bigint").parquet(f"{path}/supplier.parquet")
+    captions = ", ".join(
+        row(flag=str(flag), position=str(position), label=quoted(label))
+        for flag, labels in enumerate((PROFIT_LOSS_LABELS, BALANCE_SHEET_LABELS))
+        for position, label in enumerate(labels, start=1)
+    )
+    sections = (
+        supplier.selectExpr(f"{_company('s_suppkey')} AS company")
+        .where("company IS NOT NULL")
+        .distinct()
+        .selectExpr("company", f"inline(array({captions}))")
+        .selectExpr("company * 100 + flag * 50 + position", "flag", "company", "position", "label")
     )
+    none = spark.sql("SELECT 0L, 0, 0L, 0, 'UNASSIGNED'")
+    return sections.union(none).toDF(*STATEMENT_SECTION).selectExpr(*casts(STATEMENT_SECTION))
 
 
 def _accounts(section: DataFrame) -> DataFrame:
@@ -97,7 +107,7 @@ def _expand(lines: DataFrame) -> DataFrame:
             "l_partkey",
             "l_suppkey",
             "l_linenumber",
-            f"1 + l_suppkey % {COMPANIES} AS company",
+            f"{_company('l_suppkey')} AS company",
             f"CAST(l_extendedprice AS {AMOUNT}) AS amount",
         )
         .selectExpr(*keep, f"inline(array({', '.join(postings)}))")
@@ -106,7 +116,7 @@ def _expand(lines: DataFrame) -> DataFrame:
 
 
 def ledger_from_orders(spark: SparkSession, path: str) -> Ledger:
-    """Derive the ledger from ``path/orders.parquet`` and ``path/lineitem.parquet``."""
+    """Derive the ledger from the orders, lineitem and supplier tables in ``path``."""
     orders = spark.read.schema(_ORDERS).parquet(f"{path}/orders.parquet")
     lines = spark.read.schema(_LINEITEM).parquet(f"{path}/lineitem.parquet")
     entry = orders.selectExpr(
@@ -114,11 +124,12 @@ def ledger_from_orders(spark: SparkSession, path: str) -> Ledger:
         "CAST(o_orderdate AS date) AS entry_date",
         "CAST(IF(o_orderpriority = '5-LOW', 1, 0) AS tinyint) AS cancelled",
     )
-    section = _sections(spark)
+    section = _sections(spark, path)
     return Ledger(
         account=_accounts(section),
         section=section,
         entry=entry,
         line=lines.withColumnRenamed("l_orderkey", "journal_entry_id"),
         expand=_expand,
+        line_company=_company("l_suppkey"),
     )
