@@ -84,6 +84,14 @@ def with_amounts(df: DataFrame, columns: dict[str, str]) -> dict[str, str]:
     }
 
 
+def with_stored_flag(df: DataFrame, columns: dict[str, str]) -> dict[str, str]:
+    """``columns`` with ``cancelled`` in the stored whole-number type: no cast is in the way of
+    a filter on it."""
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    given = dict(df.dtypes).get("cancelled")
+    return columns | {"cancelled": given} if given in whole else columns
+
+
 def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Select and cast exactly these columns; others are never read."""
     missing = [name for name in columns if name not in df.columns]

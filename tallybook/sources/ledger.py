@@ -65,10 +65,11 @@ def ledger_from_reader(read: Callable[[str], DataFrame]) -> Ledger:
     A JDBC reader should split the two journal tables by ``journal_entry_id``
     (``column``, ``lowerBound``, ``upperBound``, ``numPartitions``).
     """
+    entry = read("journal_entry")
     return Ledger(
         account=schema.conform(read("account"), schema.ACCOUNT),
         section=schema.conform(read("statement_section"), schema.STATEMENT_SECTION),
-        entry=schema.conform(read("journal_entry"), schema.JOURNAL_ENTRY),
+        entry=schema.conform(entry, schema.with_stored_flag(entry, schema.JOURNAL_ENTRY)),
         line=schema.conform(read("journal_entry_line_item"), schema.JOURNAL_ENTRY_LINE_ITEM),
     )
 

@@ -6,7 +6,15 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tallybook.functions import change_ratio, exact_sum, format_money, indent, quoted
+from tallybook.functions import (
+    change_ratio,
+    change_ratio_column,
+    exact_sum,
+    format_money,
+    format_money_column,
+    indent,
+    quoted,
+)
 from tests.ledgers import frame
 
 AMOUNTS = {"k": "int", "amount": "decimal(18,2)"}
@@ -39,8 +47,9 @@ def test_exact_sum(spark, rows):
 
 
 def test_exact_sum_of_extremes(spark):
-    df = spark.range(4_000_000).selectExpr(f"CAST({MOST} AS decimal(18,2)) AS amount")
-    assert df.agg(F.expr(exact_sum("amount"))).first()[0] == 4_000_000 * MOST
+    df = spark.range(10_000_000).selectExpr(f"CAST({MOST} AS decimal(18,2)) AS amount")
+    assert df.agg(F.expr(exact_sum("amount"))).first()[0] == 10_000_000 * MOST
+    assert df.agg(F.expr(exact_sum("-amount"))).first()[0] == -10_000_000 * MOST
 
 
 @pytest.mark.parametrize(
@@ -84,3 +93,21 @@ def test_labels(spark):
     assert value(spark, indent("CAST(NULL AS string)")) is None
     for text in ("it's", "back\\slash", 'double "quote"', ""):
         assert value(spark, quoted(text)) == text
+
+
+def test_column_forms(spark):
+    df = spark.sql("SELECT 110.00BD AS a, 100.00BD AS b, 0.00BD AS z")
+    ratios = df.select(
+        change_ratio_column(F.col("a"), F.col("b")),
+        change_ratio_column("a", "z"),
+        change_ratio_column("a", "z", missing=None),
+        format_money_column("a"),
+        format_money_column(F.col("a") * 1000, 0),
+    ).first()
+    assert tuple(ratios) == (pytest.approx(0.1), 0.0, None, "110.00", "110,000")
+
+
+def test_text_forms_refuse_columns(spark):
+    for call in (lambda c: change_ratio(c, "b"), lambda c: change_ratio("a", c), format_money):
+        with pytest.raises(TypeError):
+            call(F.lit(1))

@@ -180,7 +180,7 @@ def test_cluster_settings_avoid_the_sort(spark, large_tables, skewed_journal):
 def test_cluster_settings_follow_the_data():
     names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     got = [tuple(int(cluster_settings(b)[n]) for n in names) for b in (0, 2**40, 10**13, 2**50)]
-    assert got == [(200, 2**27), (8192, 2**27), (50_000, 200_000_000), (50_000, 2**30)]
+    assert got == [(200, 2**27), (8192, 2**27), (74_506, 200_000_000), (300_000, 2**30)]
 
 
 def test_bucketed_journal_is_joined_in_place(spark, large_tables, tmp_path):
