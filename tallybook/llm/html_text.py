@@ -38,7 +38,7 @@ SAME_KIND = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-BARRIERS = frozenset("ul ol dl table body article section div main td th".split())
+BARRIERS = DROPPED | set("ul ol dl table body article section div main td th header".split())
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|menu|"
     r"nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|cookies?|consent|gdpr|notices?|"

@@ -38,7 +38,7 @@ DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
 IDENTIFIER = re.compile(
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|[0-9+/_=.-]+|[a-z+/_=.-]+|[A-Z+/_=.-]+"
+    r"|[0-9TZ+/_=.-]+|[a-z+/_=.-]+|[A-Z+/_=.-]+"
 )
 
 

@@ -1,0 +1,90 @@
+import random
+
+import pytest
+
+from tallybook.llm.template_leaks import Leaks, find_leaks, without_leaks
+
+ITEM = (
+    "Yesterday Anna bought 3 apples and 5 pears from Bob because Anna was hungry after the long "
+    "walk of 12 miles home"
+)
+
+
+def leaks(spark, texts, items=(ITEM,), limits=Leaks()):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): r["exact"] for r in find_leaks(docs, bench, limits).collect()}
+
+
+def changed(**values):
+    text = ITEM
+    for old, new in values.items():
+        text = text.replace(old, new)
+    return text
+
+
+@pytest.mark.parametrize(
+    "text, exact",
+    [
+        (ITEM, True),
+        (f"before, it said. {ITEM} and on it goes", True),
+        (ITEM.upper().replace(" ", "!! "), True),
+        (ITEM.replace(" ", " | \n"), True),
+        ("Yesterday Maria bought 30 apples and 7 pears from Peter because Maria was hungry after the "
+         "long walk of 4 kilometers home", False),
+        # Anna is two people, or two are one.
+        ("Yesterday Maria bought 30 apples and 7 pears from Peter because Clara was hungry after the "
+         "long walk of 4 miles home", None),
+        ("Yesterday Maria bought 30 apples and 7 pears from Maria because Maria was hungry after the "
+         "long walk of 4 miles home", None),
+        # A name where the item has a number.
+        ("Yesterday Maria bought Otto apples and Emma pears from Peter because Maria was sad", None),
+        (" ".join(ITEM.split()[:9]), None),
+        ("", None), (None, None), ("3 5 12", None),
+    ],
+)
+def test_one_item(spark, text, exact):
+    assert leaks(spark, [text]) == ({} if exact is None else {(0, 0): exact})
+
+
+def test_short_and_odd_items(spark):
+    items = ["Name the capital of France", "Too short", None, "", "1 2 3 4 5 6 7 8 9"]
+    texts = ["Please name the capital of France now", "too short", "1 2 3 4 5 6 7 8 9"]
+    assert leaks(spark, texts, items) == {(0, 0): True, (2, 4): True}
+
+
+def test_random_passages_against_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"wo{chr(97 + i)}{'x' * (i % 9)}" for i in range(26)]
+    items = [" ".join(rng.choices(words, k=k)) for k in (5, 8, 13, 20, 40)]
+    texts, expected = [], set()
+    for d in range(60):
+        text = rng.choices(words, k=rng.randrange(30))
+        if d % 2:
+            i = rng.randrange(len(items))
+            cut = items[i].split()
+            part = cut[: rng.choice([len(cut), 13, 12, 7])]
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = part
+        texts.append(" ".join(text))
+    for d, text in enumerate(texts):
+        have = text.split()
+        for i, item in enumerate(items):
+            own = item.split()
+            need = min(13, len(own))
+            spans = {tuple(own[k : k + need]) for k in range(len(own) - need + 1)}
+            if any(tuple(have[k : k + need]) in spans for k in range(len(have) - need + 1)):
+                expected.add((d, i))
+    assert set(leaks(spark, texts, items)) == expected
+
+
+def test_odd_rows_stay(spark, odd, no_rows):
+    bench = spark.createDataFrame([(1, ITEM, 5)], "item_id bigint, text string, doc_id int")
+    kept = without_leaks(odd, bench)
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+    assert without_leaks(no_rows, bench).count() == 0
+    assert without_leaks(odd, bench.limit(0)).count() == odd.count()
+    leaked = spark.createDataFrame([(None, ITEM), (None, "clean"), (1, ITEM), (1, "clean")],
+                                   "doc_id bigint, text string")
+    assert [tuple(r) for r in without_leaks(leaked, bench).orderBy("doc_id").collect()] == [
+        (None, "clean"), (1, "clean")]

@@ -1,0 +1,161 @@
+import hashlib
+import re
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tallybook.llm import html_text, secret_scan, token_lengths
+from tallybook.llm.registry import PATTERN, VOCABULARY
+from tests.llm.conftest import ODD
+
+SCAN = secret_scan.SecretScan(VOCABULARY, PATTERN)
+ENCODING = secret_scan.load_encoding(VOCABULARY, PATTERN)
+
+
+def spans_by_hand(text):
+    """The base spans by the plainest reading of their definition."""
+    found = []
+    for m in re.finditer(
+        r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
+        r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?"""
+        r"""([A-Za-z0-9+/_.=-]+)""",
+        text,
+    ):
+        if len(m[1]) >= 6:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+PIECES = st.sampled_from(
+    ["password", "TOKEN", "Secret", "api_key", "apikey", "passwd", "=", ":", " ", '"', "'", "\n",
+     "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "deadbeef", "ſecret", "toKen", "é😀", "x", "+/_.-"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=14).map("".join))
+def test_base_spans(text):
+    assert secret_scan.base_spans(text, SCAN) == spans_by_hand(text)
+
+
+@pytest.mark.parametrize(
+    "text, shown",
+    [
+        ("key xK9vQ2mZ7rT4wL8pB3nH6 end", True),
+        ("AbC/dEf+GhZqXwVrTyUq9zLm==", True),
+        ("calculate_total_amount_for_user", False),
+        ("https://www.example.com/path/to/file", False),
+        ("123e4567-e89b-12d3-a456-426614174000", False),
+        ("D41D8CD98F00B204E9800998ECF8427E", False),
+        ("2024-01-01T00.00.00/2025-01-01", False),
+        ("SOME_CONSTANT_NAME_IN_CAPITALS", False),
+        ("donaudampfschifffahrtsgesellschaft", False),
+    ],
+)
+def test_random_runs(text, shown):
+    assert bool(secret_scan.random_spans(text, [], SCAN, ENCODING)) == shown
+
+
+def test_secrets_of_odd_rows(spark, odd, no_rows):
+    got = secret_scan.find_secrets(odd, SCAN).collect()
+    assert len(got) == len(ODD)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert {(r["n_assign"], r["spans"], r["base_sha256"]) for r in got} == {(0, "", empty)}
+    assert secret_scan.find_secrets(no_rows, SCAN).count() == 0
+    text = "😀 token: abcdef1 " + "0" * 24
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (row,) = secret_scan.find_secrets(docs, SCAN).collect()
+    assert row["spans"] == "assign:2:16,hex:17:41" and row["values"] == ["token: abcdef1", "0" * 24]
+
+
+def test_length_histogram(spark, odd, no_rows):
+    lengths = sorted(len(ENCODING.encode_ordinary(text or "")) for _, text, _ in ODD)
+    histogram = token_lengths.length_histogram(odd, VOCABULARY, PATTERN)
+    rows = token_lengths.with_suffix_sums(histogram).collect()
+    assert {r["n_tokens"]: r["n_docs"] for r in rows} == {n: lengths.count(n) for n in lengths}
+    for r in rows:
+        n = r["n_tokens"]
+        assert r["docs_from"] == sum(x >= n for x in lengths)
+        assert r["tokens_from"] == sum(x for x in lengths if x >= n)
+        assert r["truncated_tokens"] == sum(min(x, n) for x in lengths)
+        assert r["quantile"] == pytest.approx(sum(x <= n for x in lengths) / len(lengths))
+    limits = [0, 1, 3, 1000, 10**6]
+    got = {r["context_limit"]: r for r in token_lengths.truncated_totals(histogram, limits).collect()}
+    for limit in limits:
+        assert got[limit]["tokens"] == sum(min(x, limit) for x in lengths)
+        assert got[limit]["docs_cut"] == sum(x > limit for x in lengths)
+    quantiles = {r["quantile"]: r["n_tokens"] for r in
+                 token_lengths.length_quantiles(histogram, [0.1, 0.5, 1.0]).collect()}
+    for q, n in quantiles.items():
+        assert n == min(x for x in lengths if sum(y <= x for y in lengths) >= q * len(lengths))
+    none = token_lengths.length_histogram(no_rows, VOCABULARY, PATTERN)
+    assert none.count() == 0 and token_lengths.with_suffix_sums(none).count() == 0
+    with pytest.raises(ValueError):
+        token_lengths.truncated_totals(histogram, [])
+
+
+def test_vocabulary_is_a_parameter(odd):
+    other = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert token_lengths.length_histogram(odd, other, PATTERN).count() > 0
+
+
+MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">Blog, more</a></li></ul></nav>'
+ARTICLE = ["The title", "First, a paragraph with some words, and commas.", "A second & last <one>."]
+
+
+def page(body, before="", after=""):
+    return f"<!doctype html><html><head><title>x</title><style>p{{}}</style></head><body>{before}{body}{after}"
+
+
+HTML = "<h1>The title</h1><p>First, a <b>paragraph</b> with\n some&nbsp;words, and commas.<p>A second &amp; last &lt;one&gt;."
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        page(f"<article>{HTML}</article>", MENU, "<footer>&copy; 2024, all rights, reserved</footer>"),
+        page(f"<main>{HTML}</main>", "<header><p>Site, name, and, slogan</p></header>" + MENU),
+        page(f"<div class='post-content'>{HTML}</div>", MENU,
+             "<div id='comments'><p>I, for one, think so, too.</p></div>"),
+        page(f"<div>{HTML}</div>", "<div class='cookie-notice'><p>We use cookies, of course.</p></div>",
+             "<aside><p>Related, stories, here</p></aside><form><p>Name, please</p></form>"),
+        page(f"<article>{HTML}<section class='comments'><p>Nice, one.</p></section></article>",
+             "<script>var a='</p>';</script><div class=ad><p>Buy, now, buy</p></div>"),
+        page(f"<ARTICLE>{HTML}<!-- no, comment --><noscript><p>Off</p></noscript></ARTICLE>", MENU),
+        page(f"<div role=main>{HTML}</div>", "<div role=navigation><p>a, b, c, d, e</p></div>"),
+    ],
+)
+def test_main_text(html):
+    assert html_text.main_text(html) == "\n\n".join(ARTICLE)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (None, ""), ("", ""), ("<", "<"), ("<html><body></body></html>", ""),
+        (MENU, ""), ("no markup, at all", "no markup, at all"),
+        ("<p>cut in an entity &am", "cut in an entity &am"),
+        ("<p>open <a href='x", "open"), ("<div>" * 3000 + "<p>deep, down", "deep, down"),
+        ("<p>&#xD800; &#0; &nope; &eacute;", "� � &nope; é"),
+        ("<ul><li>one, two<li>three, four</ul>", "one, two\n\nthree, four"),
+        ("<script>never ends", ""),
+    ],
+)
+def test_odd_pages(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_long_page_is_linear_and_whole():
+    html = "<article>" + "<p>some words, here</p>" * 20_000 + "</article>"
+    assert html_text.main_text(html).count("some words, here") == 20_000
+
+
+def test_pages_table(spark):
+    rows = [(1, "u", "<p>a, b", "en", 5), (1, "u", "<p>a, b", "en", 5), (None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, n_chars int")
+    got = sorted(map(tuple, html_text.extract_main_text(pages).collect()), key=str)
+    assert got == [(1, "u", "a, b", 4), (1, "u", "a, b", 4), (None, None, "", 0)]
+    assert html_text.extract_main_text(pages.limit(0)).count() == 0

@@ -1,0 +1,106 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallybook.llm import toxic_kernel as tk
+
+SMALL = tk.Kernel(toxic_rows=120, clean_rows=240, landmarks=80, rounds=3)
+INSULTS = ["idiot", "moron", "scumbag", "worthless", "verlierer"]
+
+
+def corpus(n, seed):
+    rng = random.Random(seed)
+    syllables = ["the", "an", "er", "in", "on", "or", "re", "ti", "es", "nd", "ou", "stu", "wor"]
+    rows = []
+    for i in range(n):
+        words = ["".join(rng.choices(syllables, k=rng.choice([1, 2, 3]))) for _ in range(rng.randrange(5, 60))]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(rng.choice([1, 2])):
+                words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+        text = " ".join(w + rng.choice(["", "", "", "."]) for w in words)
+        rows.append((i, text, int(toxic)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows = corpus(500, 1)
+    return tk.train([t for _, t, _ in rows], np.array([x for *_, x in rows]), SMALL)
+
+
+def scores(model, texts):
+    return model.document_scores(tk.Tokens(pa.array(texts, pa.string())))
+
+
+def test_held_out_documents(model):
+    rows = corpus(400, 2)
+    found = scores(model, [t for _, t, _ in rows]) >= 0.5
+    assert np.mean(found == np.array([bool(x) for *_, x in rows])) > 0.97
+
+
+def test_gaps_and_inserted_characters(model):
+    around = "the an er {} in on or"
+    for word in ("idiot", "IDIOT!!", "i-d-i-o-t", "i d i o t", "idxiot", "idioot", "1d10t", "mo.ron"):
+        assert scores(model, [around.format(word)])[0] >= 0.5, word
+    for word in ("stuonor", "tional", "", "erti"):
+        assert scores(model, [around.format(word)])[0] < 0.5, word
+
+
+def test_scores_by_the_kernel_itself():
+    """Sums over look-ups equal the kernel over all subsequences."""
+    kernel = tk.Kernel()
+    words = ["moron", "moor", "x", "aäb", "abcabcabc"]
+    tokens = tk.Tokens(pa.array([" ".join(words)]))
+    row, code, value = tokens.features(np.arange(len(tokens)), kernel)
+    table = np.zeros((len(words), tk.SYMBOLS**3))
+    np.add.at(table, (row, code), value)
+
+    def by_hand(word):
+        s = "^" + word + "$"
+        found = {}
+        for i in range(len(s)):
+            for j in range(i + 1, len(s)):
+                for k in range(j + 1, min(len(s), i + kernel.spread)):
+                    u = s[i] + s[j] + s[k]
+                    found[u] = found.get(u, 0) + kernel.decay ** (k - i - 2)
+        return found, tk._norms(kernel)[len(word)]
+
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            (x, n), (y, m) = by_hand(a), by_hand(b)
+            expected = sum(x[u] * y.get(u, 0) for u in x) / n / m
+            assert table[i] @ table[j] == pytest.approx(expected)
+
+
+def test_documents_are_scored_alone(model):
+    texts = ["the an er", None, "", "idiot", "\x00 é", "on " * 5000, " . \n"]
+    together = scores(model, texts)
+    assert np.allclose(together, [scores(model, [t])[0] for t in texts])
+    assert ((0 <= together) & (together <= 1)).all()
+
+
+def test_fit_and_score_tables(spark, odd, no_rows):
+    rows = corpus(400, 3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows] + [(None, 1), (9999, 0), (5, None)],
+                                   "doc_id bigint, toxic int")
+    sample = tk.labelled_sample(docs, labels, SMALL)
+    text_of = {t: i for i, t, _ in rows}
+    assert len(sample) <= 360
+    assert all(zlib.crc32(str(text_of[r["text"]]).encode()) % 5 for r in sample)
+    fitted = tk.fit(docs, labels, SMALL)
+    got = {r["doc_id"]: r["score"] for r in tk.score_documents(docs, fitted).collect()}
+    right = np.mean([(got[i] >= 0.5) == bool(x) for i, _, x in rows])
+    assert right > 0.95
+    again = tk.fit(docs.repartition(5), labels.repartition(2), SMALL)
+    assert np.array_equal(again.weights, fitted.weights)
+    scored = tk.score_documents(odd, fitted)
+    assert scored.columns[-1] == "score" and scored.count() == odd.count()
+    assert tk.score_documents(no_rows, fitted).count() == 0
+    for some in (labels.limit(0), labels.where("toxic = 0")):
+        assert tk.fit(docs, some, SMALL) is None
+    assert {r["score"] for r in tk.score_documents(docs, None).collect()} == {0.0}
