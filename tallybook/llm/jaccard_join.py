@@ -8,9 +8,9 @@ pair has to share as many as the smaller l of the two.
 
 Tokens that one document alone has cannot be shared: how often a token occurs is asked of the
 whole corpus, and a set with too few shared tokens leaves the join at once. The join then works
-in rounds. The first rounds compare each document with the hubs of its tokens only, which
-gathers near copies, until a round finds few links. The last compares what documents of different components still share,
-with the full condition, so that no link between components is missed.
+in rounds. The first compares each document with the hubs of its tokens only, which gathers
+near copies around hubs. The last compares what documents of different hubs still share, with
+the full condition, so that no link between different groups is missed.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ class Join:
     """words: length of the n-grams. percent: least similarity.
 
     longest: how far l may go. compare_cost: cost of comparing a candidate, where listing one
-    costs 1. hub_rounds, hubs: rounds with hubs at most, and hubs of a document in each; they
+    costs 1. hub_rounds, hubs: rounds with hubs, and hubs of a document in each; they
     change the work, not the result. pair_up_to: a token with more documents has them compared
     in blocks of about ``block``.
     """
@@ -53,7 +53,7 @@ class Join:
     percent: int = 80
     longest: int = 6
     compare_cost: float = 8.0
-    hub_rounds: int = 2
+    hub_rounds: int = 1
     hubs: int = 2
     pair_up_to: int = 64
     block: int = 256
@@ -228,11 +228,11 @@ def _hub_pairs(postings: DataFrame, join: Join, turn: int) -> DataFrame:
     A token's hub is the document first in an order that is drawn anew for every round.
     """
     hubs = postings.groupBy("token").agg(
-        F.min_by(F.struct("key", "n", "component"), F.xxhash64("key", F.lit(turn))).alias("hub")
+        F.min_by(F.struct("key", "n", "label"), F.xxhash64("key", F.lit(turn))).alias("hub")
     )
     counts = (
         postings.join(hubs, "token")
-        .where("key <> hub.key and component <> hub.component")
+        .where("key <> hub.key and label <> hub.label")
         .where(_near_size(join, "n", "hub.n"))
         .groupBy(F.col("key").alias("a"), F.col("hub.key").alias("b"))
         .count()
@@ -246,19 +246,19 @@ def _hub_pairs(postings: DataFrame, join: Join, turn: int) -> DataFrame:
 
 
 def _crossing(postings: DataFrame) -> DataFrame:
-    """Postings of the tokens that documents of different components have."""
+    """Postings of the tokens that documents of different labels have."""
     mixed = (
         postings.groupBy("token")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high")
     )
     return postings.join(mixed.select("token"), "token", "left_semi")
 
 
 def _remaining_pairs(postings: DataFrame, join: Join) -> DataFrame:
-    """All pairs of documents of different components that share enough of their prefixes."""
-    left = postings.select("token", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("ell").alias("ell_a"), F.col("component").alias("low"))
-    right = postings.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("ell").alias("ell_b"), F.col("component").alias("high"))
+    """All pairs of documents of different labels that share enough of their prefixes."""
+    left = postings.select("token", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("ell").alias("ell_a"), F.col("label").alias("low"))
+    right = postings.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("ell").alias("ell_b"), F.col("label").alias("high"))
     return (
         left.join(right, "token")
         .where(f"low < high and {_near_size(join, 'n_a', 'n_b')}")
@@ -368,17 +368,27 @@ def _incidence(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return rows[common], renumbered[column[common]]
 
 
-def _postings(sets: DataFrame, edges: DataFrame | None) -> DataFrame:
-    """(key, n, ell, component, token): the prefix tokens, and the components of the edges."""
-    slim = sets.select("key", "n", "ell", "prefix")
-    if edges is None:
-        labelled = slim.withColumn("component", F.col("key"))
-    else:
-        found = connected_components(edges)
-        labelled = slim.join(found, slim["key"] == found["node"], "left").select(
-            "key", "n", "ell", "prefix", F.coalesce("component", "key").alias("component")
-        )
-    return labelled.select("key", "n", "ell", "component", F.explode("prefix").alias("token"))
+def _postings(slim: DataFrame) -> DataFrame:
+    """(key, n, ell, label, token): the prefix tokens."""
+    return slim.select("key", "n", "ell", "label", F.explode("prefix").alias("token"))
+
+
+def _relabelled(slim: DataFrame, links: DataFrame) -> DataFrame:
+    """The sets with the label of the first hub that they are linked with, and of its hub.
+
+    Equal labels mean that links connect; different ones mean nothing. A short way from a
+    document to a hub that many share is enough here, and takes no iteration.
+    """
+    hubs = links.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("hub"))
+    further = hubs.select(F.col("x").alias("y"), F.col("hub").alias("hub_of_hub"))
+    found = hubs.join(further, F.col("hub") == F.col("y"), "left").select(
+        "x", F.coalesce("hub_of_hub", "hub").alias("to")
+    )
+    labels = slim.join(found, slim["key"] == found["x"], "left").select(
+        "key", "n", "ell", "prefix",
+        F.when(F.col("label") == F.col("key"), F.coalesce("to", "label")).otherwise(F.col("label")).alias("label"),
+    )
+    return checkpointed(labels)
 
 
 def text_key(text: str) -> Column:
@@ -439,23 +449,24 @@ def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 def _grouped(described: DataFrame, join: Join) -> DataFrame:
     sets = described.where("tokens is not null").select("key", "n", "ell", "tokens", "prefix")
-    postings = checkpointed(_postings(sets, None))
+    slim = sets.select("key", "n", "ell", "prefix", F.col("key").alias("label"))
     edges = None
     for turn in range(join.hub_rounds):
-        new = checkpointed(_links(_hub_pairs(postings, join, turn), sets, join.percent))
+        pairs = _hub_pairs(_postings(slim), join, turn)
+        new = checkpointed(_links(pairs, sets, join.percent))
         edges = new if edges is None else edges.unionByName(new)
-        postings = checkpointed(_crossing(_postings(sets, edges)))
-        if new.count() * 50 < postings.select("key").distinct().count():
-            break
+        slim = _relabelled(slim, new)
+    postings = _crossing(_postings(slim))
     sized = checkpointed(
         postings.join(
             postings.groupBy("token").agg(F.count(F.lit(1)).alias("members")), "token"
         )
     )
     few = sized.where(F.col("members") <= join.pair_up_to)
-    rest = _links(_remaining_pairs(few, join), sets, join.percent).unionByName(
-        _block_links(sized.where(F.col("members") > join.pair_up_to), sets, join)
-    )
+    many = sized.where(F.col("members") > join.pair_up_to)
+    rest = _links(_remaining_pairs(few, join), sets, join.percent)
+    if not many.isEmpty():
+        rest = rest.unionByName(_block_links(many, sets, join))
     edges = checkpointed(rest if edges is None else edges.unionByName(rest))
     # Rows with equal ids are one node, too: their texts are linked through the id.
     ids = described.where("n > 0").select(F.col("doc_id").cast("string").alias("id"), "key")
