@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm import oracles
 from tallybook.llm.entropy_mix import Mix, mix_sources
 from tallybook.llm.html_text import extract_main_text
 from tallybook.llm.jaccard_join import Join, similar_components
@@ -104,4 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_near_vectors": oracles.NEAR_VECTORS,
+        "op8_repeated_windows": oracles.REPEATED_WINDOWS,
+        "op10_jaccard_join": oracles.JACCARD_JOIN,
+    }

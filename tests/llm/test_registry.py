@@ -1,0 +1,44 @@
+"""The registered queries against their SQL, and what each returns."""
+
+import duckdb
+import pytest
+
+from tallybook.llm import registry
+from tests.compare import assert_same
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("key", registry.oracle_sql())
+def test_query_equals_its_sql(spark, duck, key):
+    df = registry.queries()[key](spark, SF_DIR)
+    assert assert_same(df, duck, registry.oracle_sql()[key]) > 0
+
+
+COLUMNS = {
+    "op2": "doc_id bigint, size bigint, target double, taken bigint",
+    "op3": "page_id bigint, url string, text string, n_chars bigint",
+    "op4": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
+    "spans string",
+    "op5": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, "
+    "grown_shard int",
+    "op6": "n_tokens bigint, n_docs bigint, truncated_tokens bigint",
+    "op7": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op9": "doc_id bigint, item_id bigint",
+}
+
+
+@pytest.mark.parametrize("prefix", COLUMNS)
+def test_columns(spark, prefix):
+    (key,) = [key for key in registry.queries() if key.startswith(prefix + "_")]
+    types = dict(registry.queries()[key](spark, SF_DIR).dtypes)
+    wanted = dict(column.split() for column in COLUMNS[prefix].split(", "))
+    assert {name: types[name] for name in wanted} == wanted
