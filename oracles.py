@@ -254,6 +254,7 @@ BODIES = {
     "pl_section_balance": "SELECT * FROM pl_balance",
     "bs_section_balance": "SELECT * FROM bs_balance",
     "section_balance": "SELECT * FROM mart",
+    "section_balance_stored": "SELECT * FROM mart",
     "pl_subtotals": "SELECT * FROM pl_total",
     "bs_totals": "SELECT * FROM bs_total",
     "gross_margin_ratio": """
