@@ -34,6 +34,8 @@ NO_ID = np.iinfo(np.int64).max
 
 def level_lengths(window: int) -> list[int]:
     """Lengths of the levels: halves, rounded up, down to 7 words or less."""
+    if window < 2:
+        raise ValueError(f"a window of {window} words")
     lengths = [window]
     while lengths[0] > 7:
         lengths.insert(0, (lengths[0] + 1) // 2)
@@ -220,10 +222,8 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     other columns are ignored.
     """
     require_columns(docs, "doc_id", "text")
-    if window < 2:
-        raise ValueError(f"a window of {window} words")
-    count = chunk_count(docs)
     lengths = level_lengths(window)
+    count = chunk_count(docs)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.select(
         "doc_id",

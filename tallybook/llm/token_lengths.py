@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.secret_scan import load_encoding
-from tallybook.llm.shared import per_batch, require_columns
+from tallybook.llm.shared import checkpointed, per_batch, require_columns
 
 #: Lengths of one bin; suffix sums run inside bins and over the totals of bins.
 BIN = 1024
@@ -44,14 +44,15 @@ def length_histogram(
 
     A null text has length 0 like an empty one. Texts are encoded whole; repeated rows count
     each time; an empty table gives no rows; other columns are ignored. Tasks send a row for
-    each batch and length, combined before the shuffle.
+    each batch and length, combined before the shuffle. The histogram is stored, so that what is
+    asked of it later does not encode again.
     """
     require_columns(docs, text)
     lengths = docs.select(docs[text]).mapInArrow(
         per_batch(partial(_lengths, vocabulary=vocabulary, pattern=pattern, encoding=[])),
         "n_tokens bigint, n_docs bigint",
     )
-    return lengths.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return checkpointed(lengths.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")))
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:

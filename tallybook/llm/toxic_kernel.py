@@ -159,29 +159,65 @@ def _norms(kernel: Kernel) -> np.ndarray:
     return np.sqrt(np.maximum(square, 1e-9))
 
 
-def _nystroem(tokens: Tokens, landmarks: np.ndarray, chosen: np.ndarray, kernel: Kernel):
+class Sample:
+    """Texts to learn from. Their tokens are made anew, some texts at a time, for every look,
+    so that the driver holds little more than the texts."""
+
+    def __init__(self, texts: list[str], at_once: int = 64) -> None:
+        self.texts = len(texts)
+        self._parts = [
+            (start, pa.array(texts[start : start + at_once], pa.string()))
+            for start in range(0, len(texts), at_once)
+        ]
+        documents, sentences, spelled, first_sentence = [], [], [], 0
+        for (start, _), part in zip(self._parts, self.parts(), strict=True):
+            documents.append((part.document + start).astype(np.int32))
+            sentences.append((part.sentence + first_sentence).astype(np.int32))
+            spelled.append(part.spelling())
+            first_sentence += int(part.sentence.max(initial=0)) + 1
+        self.document, self.sentence = np.concatenate(documents), np.concatenate(sentences)
+        self.spelling = np.concatenate(spelled)
+        self.start = np.insert(np.cumsum([len(x) for x in documents]), 0, 0)
+
+    def parts(self):
+        return (Tokens(texts) for _, texts in self._parts)
+
+    def scores(self, weights: np.ndarray, kernel: Kernel) -> np.ndarray:
+        return np.concatenate([part.scores(weights, kernel) for part in self.parts()])
+
+    def features(self, chosen: np.ndarray, kernel: Kernel) -> tuple[np.ndarray, ...]:
+        """(row, code, value) of the subsequences of some words, sorted by row."""
+        found = []
+        for i, part in enumerate(self.parts()):
+            rows = np.flatnonzero((chosen >= self.start[i]) & (chosen < self.start[i + 1]))
+            if len(rows):
+                row, code, value = part.features(chosen[rows] - self.start[i], kernel)
+                found.append((rows[row].astype(np.int32), code.astype(np.int32), value))
+        row, code, value = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(row, kind="stable")
+        return row[order], code[order], value[order]
+
+
+def _nystroem(sample: Sample, landmarks: np.ndarray, chosen: np.ndarray, kernel: Kernel):
     """Feature map of the chosen words, and the table of weights that each feature stands for."""
-    row, code, value = tokens.features(landmarks, kernel)
+    row, code, value = sample.features(landmarks, kernel)
     used, column = np.unique(code, return_inverse=True)
-    basis = np.zeros((len(landmarks), len(used)))
+    basis = np.zeros((len(landmarks), len(used)), dtype=np.float32)
     np.add.at(basis, (row, column), value)
-    gram = basis @ basis.T
-    eigen, vectors = np.linalg.eigh(gram)
-    kept = eigen > 1e-6 * eigen.max()
+    eigen, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
+    kept = eigen > 1e-5 * eigen.max()
     root = vectors[:, kept] / np.sqrt(eigen[kept])
-    table = root.T @ basis
-    row, code, value = tokens.features(chosen, kernel)
-    place = np.searchsorted(used, code)
-    known = used[np.minimum(place, len(used) - 1)] == code
-    row, place, value = row[known], place[known], value[known]
+    table = root.T.astype(np.float32) @ basis
     mapped = np.zeros((len(chosen), table.shape[0]))
-    order = np.argsort(row, kind="stable")
-    row, place, value = row[order], place[order], value[order]
-    for start in range(0, len(chosen), 512):
-        a, b = np.searchsorted(row, [start, start + 512])
-        part = np.zeros((min(512, len(chosen) - start), len(used)))
+    row, code, value = sample.features(chosen, kernel)
+    place = np.minimum(np.searchsorted(used, code), len(used) - 1)
+    known = used[place] == code
+    row, place, value = row[known], place[known], value[known]
+    for start in range(0, len(chosen), 128):
+        a, b = np.searchsorted(row, [start, start + 128])
+        part = np.zeros((min(128, len(chosen) - start), len(used)), dtype=np.float32)
         np.add.at(part, (row[a:b] - start, place[a:b]), value[a:b])
-        mapped[start : start + 512] = part @ table.T
+        mapped[start : start + 128] = part @ table.T
     return mapped, used, table
 
 
@@ -220,7 +256,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def _document_features(tokens: Tokens, found: np.ndarray) -> np.ndarray:
+def _document_features(tokens: Tokens | Sample, found: np.ndarray) -> np.ndarray:
     """Of each document: the worst word, and what all words above the margin add up to."""
     worst = np.full(tokens.texts, -2.0)
     np.maximum.at(worst, tokens.document, found)
@@ -232,14 +268,15 @@ def train(texts: list[str], toxic: np.ndarray, kernel: Kernel) -> Model:
     """The machine on labelled texts; the last third only sets the level of the scores."""
     rng = np.random.default_rng(kernel.seed)
     order = rng.permutation(len(texts))
-    tokens = Tokens(pa.array([texts[i] for i in order], pa.string()))
+    tokens = Sample([texts[i] for i in order])
     label = toxic[order].astype(bool)
     learns = np.arange(len(label)) < -(-2 * len(label) // 3)
     bad = label[tokens.document] & learns[tokens.document]
     good = ~label[tokens.document] & learns[tokens.document]
     # Of the clean words, each once.
+    spelling = tokens.spelling
     once = np.flatnonzero(good)
-    once = once[np.unique(tokens.spelling()[once], return_index=True)[1]]
+    once = once[np.unique(spelling[once], return_index=True)[1]]
     found = tokens.scores(_log_odds(tokens, bad, good, kernel), kernel)
     weights, bias = np.zeros(SYMBOLS**3), 0.0
     for _ in range(kernel.rounds):
@@ -249,7 +286,7 @@ def train(texts: list[str], toxic: np.ndarray, kernel: Kernel) -> Model:
         clean = np.unique(np.concatenate([strong, others]))
         half = kernel.landmarks // 2
         landmarks = np.concatenate(
-            [_different(tokens, witnesses, half, rng), _different(tokens, clean, half, rng)]
+            [_different(spelling, witnesses, half, rng), _different(spelling, clean, half, rng)]
         )
         chosen = np.concatenate([witnesses, clean])
         mapped, used, table = _nystroem(tokens, landmarks, chosen, kernel)
@@ -262,18 +299,19 @@ def train(texts: list[str], toxic: np.ndarray, kernel: Kernel) -> Model:
     return Model(weights.astype(np.float32), bias, level, kernel)
 
 
-def _log_odds(tokens: Tokens, bad: np.ndarray, good: np.ndarray, kernel: Kernel) -> np.ndarray:
+def _log_odds(sample: Sample, bad: np.ndarray, good: np.ndarray, kernel: Kernel) -> np.ndarray:
     """How much more often a subsequence is in toxic documents' words, for a first guess."""
     counts = np.zeros((2, SYMBOLS**3))
-    for place, code, _ in tokens.subsequences(kernel):
-        token = tokens.of[place]
-        for side, chosen in enumerate((bad, good)):
-            counts[side] += np.bincount(code[chosen[token]], minlength=SYMBOLS**3)
+    for part, start in zip(sample.parts(), sample.start, strict=False):
+        for place, code, _ in part.subsequences(kernel):
+            token = part.of[place] + start
+            for side, chosen in enumerate((bad, good)):
+                counts[side] += np.bincount(code[chosen[token]], minlength=SYMBOLS**3)
     share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * SYMBOLS**3)
     return np.log(share[0] / share[1])
 
 
-def _witnesses(tokens: Tokens, found: np.ndarray, bad: np.ndarray) -> np.ndarray:
+def _witnesses(tokens: Sample, found: np.ndarray, bad: np.ndarray) -> np.ndarray:
     """The worst word of the worst sentence of each toxic document."""
     at = np.flatnonzero(bad)
     order = at[np.lexsort((-found[at], tokens.sentence[at]))]
@@ -282,14 +320,11 @@ def _witnesses(tokens: Tokens, found: np.ndarray, bad: np.ndarray) -> np.ndarray
     return order[np.insert(np.diff(tokens.document[order]) != 0, 0, True)]
 
 
-def _different(tokens: Tokens, chosen: np.ndarray, most: int, rng) -> np.ndarray:
+def _different(spelling: np.ndarray, chosen: np.ndarray, most: int, rng) -> np.ndarray:
     """At most so many of the words, no two alike."""
-    spelled: dict[bytes, int] = {}
-    for i in rng.permutation(chosen):
-        spelled.setdefault(tokens.stream[tokens.first[i] : tokens.first[i + 1]].tobytes(), i)
-        if len(spelled) == most:
-            break
-    return np.array(list(spelled.values()))
+    shuffled = rng.permutation(chosen)
+    _, first = np.unique(spelling[shuffled], return_index=True)
+    return shuffled[np.sort(first)[:most]]
 
 
 def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:

@@ -84,8 +84,4 @@ def test_levels_double():
     assert rw.level_lengths(13) == [7, 13]
     assert rw.level_lengths(50) == [7, 13, 25, 50]
     with pytest.raises(ValueError):
-        rw.remove_repeated_windows(None_frame(), 1)
-
-
-class None_frame:
-    columns = ("doc_id", "text")
+        rw.level_lengths(1)
