@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallybook.chart import STANDARD, Chart, listed, order_in
 from tallybook.functions import exact_sum, row
-from tallybook.schema import AMOUNT, JOURNAL_ENTRY_LINE_ITEM, MONEY, SECTION_BALANCE, conform
+from tallybook.schema import AMOUNT, MONEY, SECTION_BALANCE, casts, with_amounts
 from tallybook.sources.ledger import Ledger
 
 _KEYS = [name for name in SECTION_BALANCE if name != "balance"]
@@ -44,9 +44,9 @@ def posted_lines(
             f" AND year(entry_date) IN ({listed(years)})"
         )
     entry = ledger.entry.where(live).selectExpr("journal_entry_id", "year(entry_date) AS year")
-    joined = ledger.lines_of(company_id).join(entry, "journal_entry_id")
-    columns = {name: JOURNAL_ENTRY_LINE_ITEM[name] for name in ("account_id", "debit", "credit")}
-    return conform(ledger.postings(joined), {**columns, "year": "int"})
+    postings = ledger.postings(ledger.lines_of(company_id).join(entry, "journal_entry_id"))
+    amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
+    return postings.selectExpr("account_id", "year", *casts(amounts))
 
 
 def account_totals(posted: DataFrame) -> DataFrame:

@@ -55,22 +55,29 @@ def _company(supplier: str) -> str:
 
 
 def _sections(spark: SparkSession, path: str) -> DataFrame:
-    """Every section of every company that has a supplier, and one that means no section."""
+    """Every section of every company that has a supplier, and one that means no section.
+
+    That one comes with company 1 and not from a union, so that a plan reads the suppliers once.
+    """
     supplier = spark.read.schema("s_suppkey bigint").parquet(f"{path}/supplier.parquet")
-    captions = ", ".join(
-        row(flag=str(flag), position=str(position), label=quoted(label))
+
+    def section(identity: str, flag: int, company: str, order: int, label: str) -> str:
+        values = (identity, str(flag), company, str(order), quoted(label))
+        return row(**dict(zip(STATEMENT_SECTION, values)))
+
+    sections = [
+        section(f"company * 100 + {flag * 50 + order}", flag, "company", order, label)
         for flag, labels in enumerate((PROFIT_LOSS_LABELS, BALANCE_SHEET_LABELS))
-        for position, label in enumerate(labels, start=1)
-    )
-    sections = (
+        for order, label in enumerate(labels, start=1)
+    ]
+    sections.append(f"IF(company = 1, {section('0L', 0, '0L', 0, 'UNASSIGNED')}, NULL)")
+    return (
         supplier.selectExpr(f"{_company('s_suppkey')} AS company")
         .where("company IS NOT NULL")
         .distinct()
-        .selectExpr("company", f"inline(array({captions}))")
-        .selectExpr("company * 100 + flag * 50 + position", "flag", "company", "position", "label")
+        .selectExpr(f"inline(array_compact(array({', '.join(sections)})))")
+        .selectExpr(*casts(STATEMENT_SECTION))
     )
-    none = spark.sql("SELECT 0L, 0, 0L, 0, 'UNASSIGNED'")
-    return sections.union(none).toDF(*STATEMENT_SECTION).selectExpr(*casts(STATEMENT_SECTION))
 
 
 def _accounts(section: DataFrame) -> DataFrame:
