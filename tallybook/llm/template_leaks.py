@@ -213,7 +213,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
                 F.flatten(F.collect_set(F.expr("sequence(at, at + length - 1)")))
             )
         ).alias("n_words"),
-        F.bool_and("plain").alias("plain_only"),
+        F.size(
+            F.array_distinct(
+                F.flatten(F.collect_set(F.expr("IF(plain, sequence(at, at + length - 1), NULL)")))
+            )
+        ).alias("same_words"),
     )
     clashing = _clashing_slots(matched, run)
     key = [F.expr(f"{c} <=> c_{c}") for c in run]
@@ -226,7 +230,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
     return (
         agreeing.where(F.col("n_words") >= F.least("item_words", F.lit(leaks.words)))
         .groupBy("doc_id", "text_hash", "item_id", "item_words")
-        .agg(F.max("n_words").alias("n_words"), F.max("plain_only").alias("exact"))
+        .agg(
+            F.max("n_words").alias("n_words"),
+            F.bool_or(F.col("n_words") == F.col("same_words")).alias("exact"),
+        )
         .select("doc_id", "text_hash", "item_id", "n_words", "item_words", "exact")
     )
 
