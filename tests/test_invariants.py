@@ -31,7 +31,7 @@ def statements(df):
 
 def test_profit_and_loss_adds_up(derived):
     found = statements(pl_statement(derived))
-    assert len(found) == 35
+    assert len(found) == 350
     for lines in found.values():
         amount = {k: v or D(0) for k, v in lines.items()}.get
         detail = [amount(f"{o}.00", D(0)) for o in range(1, 14)]
@@ -42,7 +42,7 @@ def test_profit_and_loss_adds_up(derived):
 
 def test_balance_sheet_adds_up(derived):
     found = statements(balance_sheet(derived))
-    assert len(found) == 35
+    assert len(found) == 350
     for lines in found.values():
         assert lines["3.60"] == sum(lines[f"{o}.00"] for o in (1, 2, 3))
         assert lines["6.50"] == sum(lines[f"{o}.00"] for o in (4, 5, 6))
