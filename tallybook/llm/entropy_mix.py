@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.shared import checkpointed, n_words, require_columns
 
+# A tilt stays if its words are as close to the target, or the next step is as short.
+CLOSE, ROUNDING = 1e-9, 1e-13
 #: Columns that the mix adds.
 MIXED_COLUMNS = ("size", "source_size", "target", "copies", "taken")
 
@@ -100,7 +102,7 @@ def source_tilts(counts: DataFrame, targets: DataFrame, mix: Mix) -> DataFrame:
 
     Newton's method on the dual, one source beside the other. The sum of words rises with the
     tilt, so every step also narrows an interval around the root, and a step that would leave
-    it halves it instead.
+    it halves it instead. A tilt that meets the target stays.
     """
     # In units of the mean size of a document, tilts are of the order of 1.
     scale = counts.groupBy("source").agg(
@@ -127,22 +129,32 @@ def _newton_step(counts: DataFrame, state: DataFrame, mix: Mix) -> DataFrame:
     x = F.col("size") / F.greatest("unit", F.lit(1.0))
     rate = _rate(mix, F.col("tilt"), x)
     words = F.col("size") * F.col("docs")
+
+    def exact(value: Column) -> Column:
+        # Sums of decimals do not depend on the order of the rows, so reruns find equal tilts.
+        return F.sum(value.cast("decimal(38,9)")).cast("double")
+
     sums = (
         counts.select(F.col("source").alias("s"), "size", "docs")
         .join(state, F.expr("source <=> s"))
         .groupBy("s")
         .agg(
-            F.sum(words * rate).alias("taken"),
-            F.sum(words * x * rate * (mix.most - rate) / mix.most).alias("slope"),
+            exact(words * rate).alias("taken"),
+            exact(words * x * rate * (mix.most - rate) / mix.most).alias("slope"),
         )
     )
     moved = state.join(sums, F.expr("source <=> s"))
     low = F.when(F.col("taken") < F.col("target"), F.col("tilt")).otherwise(F.col("low"))
     high = F.when(F.col("taken") >= F.col("target"), F.col("tilt")).otherwise(F.col("high"))
     step = F.col("tilt") + F.expr("try_divide(target - taken, slope)")
+    met = (F.abs(F.col("target") - F.col("taken")) <= F.col("target") * CLOSE) | (
+        F.abs(F.col("step") - F.col("tilt")) <= F.abs("tilt") * ROUNDING
+    )
     return moved.withColumns({"low": low, "high": high, "step": step}).select(
         "source", "source_size", "target", "unit",
-        F.when((F.col("step") > F.col("low")) & (F.col("step") < F.col("high")), F.col("step"))
+        # Newton comes from one side, so at the root a step ends on a bound of the interval.
+        F.when(met, F.col("tilt"))
+        .when((F.col("step") > F.col("low")) & (F.col("step") < F.col("high")), F.col("step"))
         .otherwise((F.col("low") + F.col("high")) / 2)
         .alias("tilt"),
         "low", "high",

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallybook.llm.entropy_mix import Mix, mix_sources, source_targets
+from tallybook.llm.entropy_mix import Mix, mix_sources, source_targets, source_tilts
 from tallybook.llm.ring_shards import Ring, ring_arcs, ring_shards
 from tests.llm.conftest import ODD
 
@@ -147,3 +147,36 @@ def test_odd_rows_are_mixed(odd, no_rows):
     assert len(rows) == len(ODD) and all(r["copies"] <= 3 for r in rows)
     assert {r["copies"] for r in rows if r["size"] == 0} == {1}
     assert mix_sources(no_rows).count() == 0
+
+
+def words_taken(docs, tilt, most=3):
+    rates = {size: most / (1 + (most - 1) * math.exp(min(-tilt * size, 700))) for size in docs}
+    return sum(n * size * rates[size] for size, n in docs.items())
+
+
+@pytest.mark.parametrize("share", [0.05, 0.3, 0.5, 0.9, 1.0, 1.1, 2.0])
+def test_tilts_against_bisection_of_the_dual(spark, share):
+    """Sources of many shapes, most of them with a target below their size."""
+    sources = {
+        "even": {7: 40},
+        "two": {3: 50, 80: 9},
+        "many": {1 + i * i % 97: 1 + i % 5 for i in range(60)},
+        "wide": {int(math.exp(i / 4)): 200 // (i + 1) for i in range(4, 40)},
+        None: {1: 3, 2: 2, 5: 1},
+    }
+    counts = [(name, size, n) for name, docs in sources.items() for size, n in docs.items()]
+    sizes = {name: sum(size * n for size, n in docs.items()) for name, docs in sources.items()}
+    targets = [(name, size, share * size) for name, size in sizes.items()]
+    got = source_tilts(
+        spark.createDataFrame(counts, "source string, size bigint, docs bigint"),
+        spark.createDataFrame(targets, "source string, source_size bigint, target double"),
+        Mix(),
+    ).collect()
+    assert len(got) == len(sources)
+    for r in got:
+        docs, low, high = sources[r["source"]], -60.0, 60.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if words_taken(docs, middle) < r["target"] else (low, middle)
+        assert r["tilt"] == pytest.approx(low, rel=1e-6, abs=1e-9)
+        assert words_taken(docs, r["tilt"]) == pytest.approx(r["target"], rel=1e-6)
