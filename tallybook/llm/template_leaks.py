@@ -3,7 +3,7 @@
 A template is a text whose numbers, names and units are replaced by placeholders of their
 type. Windows of templates, and of the plain words, are looked up in those of the benchmark. A
 match of templates counts if the slots agree: one value of the item stands for one value of
-the document throughout, and the other way round.
+the document throughout, and the other way round. Equal words in one stretch count by themselves.
 
 Every window of the benchmark has an anchor, its longest word that is no placeholder. Documents
 are only looked at around words that may be anchors, which a table of flags of a fixed size
@@ -32,6 +32,13 @@ UNITS = (
 NAME = ""
 NAMES = r"(?<=[\p{L}\p{N},;:)] )(\p{Lu}[\p{Ll}\p{M}]+)"
 NO_WORD = rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}\x20\x09-\x0D]+"
+#: The longest stretch of consecutive numbers in the sorted array ``same``.
+STRETCH = """aggregate(
+    same, struct(-2 AS last, 0 AS long, 0 AS most),
+    (s, x) -> struct(
+        x AS last, IF(x = s.last + 1, s.long + 1, 1) AS long,
+        greatest(s.most, IF(x = s.last + 1, s.long + 1, 1)) AS most),
+    s -> s.most)"""
 #: Flags of possible anchors.
 FLAGS = 1 << 18
 
@@ -213,22 +220,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
                 F.flatten(F.collect_set(F.expr("sequence(at, at + length - 1)")))
             )
         ).alias("n_words"),
-        F.size(
+        F.array_sort(
             F.array_distinct(
                 F.flatten(F.collect_set(F.expr("IF(plain, sequence(at, at + length - 1), NULL)")))
             )
-        ).alias("same_words"),
+        ).alias("same"),
     )
+    runs = runs.withColumn("same_words", F.size("same")).withColumn("stretch", F.expr(STRETCH)).drop("same")
     clashing = _clashing_slots(matched, run)
     key = [F.expr(f"{c} <=> c_{c}") for c in run]
     on = key[0]
     for part in key[1:]:
         on &= part
-    agreeing = runs.join(
-        clashing.select(*[F.col(c).alias(f"c_{c}") for c in run]), on, "left_anti"
+    judged = runs.join(
+        clashing.select(*[F.col(c).alias(f"c_{c}") for c in run], F.lit(True).alias("clash")), on, "left"
+    )
+    # Slots that clash speak against the templates of a run, not against its equal words.
+    held = judged.withColumns(
+        {c: F.when(F.col("clash"), F.col("stretch")).otherwise(F.col(c)) for c in ("n_words", "same_words")}
     )
     return (
-        agreeing.where(F.col("n_words") >= F.least("item_words", F.lit(leaks.words)))
+        held.where(F.col("n_words") >= F.least("item_words", F.lit(leaks.words)))
         .groupBy("doc_id", "text_hash", "item_id", "item_words")
         .agg(
             F.max("n_words").alias("n_words"),

@@ -88,3 +88,18 @@ def test_odd_rows_stay(spark, odd, no_rows):
                                    "doc_id bigint, text string")
     assert [tuple(r) for r in without_leaks(leaked, bench).orderBy("doc_id").collect()] == [
         (None, "clean"), (1, "clean")]
+
+
+@pytest.mark.parametrize(
+    "old, new, exact",
+    [
+        # 19 words are equal, then one number stands for two.
+        ("12 miles", "3 miles", True),
+        # No stretch of 13 equal words is left.
+        ("because Anna", "because Clara", None),
+        ("5 pears from Bob", "3 pears from Anna", None),
+    ],
+)
+def test_clashing_slots_leave_equal_words(spark, old, new, exact):
+    text = f"it said {ITEM.replace(old, new)} and went on"
+    assert leaks(spark, [text]) == ({} if exact is None else {(0, 0): exact})
