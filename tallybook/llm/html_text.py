@@ -23,9 +23,9 @@ VOID = frozenset(
 )
 RAW = frozenset("script style textarea title noframes noembed iframe xmp".split())
 DROPPED = frozenset(
-    "head nav footer aside form script style noscript iframe object embed svg math button select "
+    "head nav footer aside form script style noscript iframe object embed svg button select "
     "option textarea template dialog menu canvas audio video map title noframes noembed xmp "
-    "fieldset label input".split()
+    "fieldset label input annotation annotation-xml".split()
 )
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption "
@@ -38,7 +38,7 @@ SAME_KIND = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-BARRIERS = DROPPED | set("ul ol dl table body article section div main td th header".split())
+BARRIERS = DROPPED | set("math ul ol dl table body article section div main td th header".split())
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|menu|"
     r"nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|cookies?|consent|gdpr|notices?|"
@@ -47,6 +47,10 @@ UNLIKELY = re.compile(
     r"pagination|pager|toolbar|widget|skip-link|copyright|legal|disclaimer|search)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# What a wrapper has or lacks says nothing of its own content.
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:no|has|with|without)[_-]\S*", re.IGNORECASE)
+# Names of what readers write, which may be longer than the article.
+READERS = re.compile(r"comment|disqus|repl(?:y|ies)|respond|discussion", re.IGNORECASE)
 UNLIKELY_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar form".split()
@@ -142,31 +146,70 @@ def _closed(node: Node, name: str) -> Node:
     return node
 
 
-def _dropped(node: Node, inside: bool) -> bool:
-    if node.name in DROPPED:
+def _unlikely(node: Node) -> bool:
+    return any(UNLIKELY.search(LAYOUT.sub("", node.marks.get(key, ""))) for key in ("class", "id"))
+
+
+def _hidden(node: Node) -> bool:
+    return "hidden" in node.marks or node.marks.get("aria-hidden") == "true"
+
+
+def _wrapped(root: Node) -> tuple[dict[int, int], set[int]]:
+    """Of each element its text outside links and controls; those that hold a main or an article."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, nested = stack.pop()
+        order.append((node, nested))
+        nested = nested or node.name == "article"
+        stack += [(x, nested) for x in node.content if not isinstance(x, str)]
+    plain: dict[int, int] = {}
+    holders: set[int] = set()
+    for node, nested in reversed(order):
+        if node.name == "a" or node.name in DROPPED and node.name != "form" or _hidden(node):
+            plain[id(node)] = 0
+            continue
+        size = 0
+        for x in node.content:
+            size += len(x.strip()) if isinstance(x, str) else plain[id(x)]
+        plain[id(node)] = size
+        # An article in an article is a comment on it.
+        own = node.name == "main" or node.marks.get("role") == "main" or (
+            node.name == "article" and not nested and not _unlikely(node)
+        )
+        if node.parent and (id(node) in holders or own and size):
+            holders.add(id(node.parent))
+    return plain, holders
+
+
+def _dropped(node: Node, inside: bool, plain: dict[int, int], holders: set[int], total: int) -> bool:
+    if node.name in DROPPED and node.name != "form":
         return True
     if node.name == "header":
         return not inside
-    marks = node.marks
-    if not marks:
-        return False
-    if "hidden" in marks or marks.get("aria-hidden") == "true":
-        return True
-    if marks.get("role", "").lower() in UNLIKELY_ROLES:
+    if _hidden(node):
         return True
-    if node.name in ("html", "body", "article", "main"):
+    named = node.name not in ("html", "body", "article", "main") and _unlikely(node)
+    role = node.marks.get("role", "").lower()
+    if not named and node.name != "form" and role not in UNLIKELY_ROLES:
+        return False
+    # A wrapper of the article is judged by its score, not by its name.
+    if role == "main" or id(node) in holders:
         return False
-    return any(UNLIKELY.search(marks.get(key, "")) for key in ("class", "id"))
+    by_readers = any(READERS.search(node.marks.get(key, "")) for key in ("class", "id"))
+    most = 0.9 if inside or by_readers else 0.5
+    return plain[id(node)] <= most * total
 
 
 def _pruned(root: Node) -> None:
     """Take out the elements that are no article."""
+    plain, holders = _wrapped(root)
+    total = plain[id(root)]
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.name in ("article", "main")
         node.content = [
-            x for x in node.content if isinstance(x, str) or not _dropped(x, inside)
+            x for x in node.content if isinstance(x, str) or not _dropped(x, inside, plain, holders, total)
         ]
         stack += [(x, inside) for x in node.content if not isinstance(x, str)]
 

@@ -159,3 +159,34 @@ def test_pages_table(spark):
     got = sorted(map(tuple, html_text.extract_main_text(pages).collect()), key=str)
     assert got == [(1, "u", "a, b", 4), (1, "u", "a, b", 4), (None, None, "", 0)]
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
+
+
+FORM = "<form id=aspnetForm><label>Name</label><input name=q><select><option>One, two</select>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        page(f"{FORM}<div>{HTML}</div></form>", MENU),
+        page(f"{FORM}<main>{HTML}</main><button>Send</button></form>", MENU),
+        page(f"<div class='content no-sidebar'>{HTML}</div>", MENU),
+        page(f"<div id=wrap class='has-sidebar'>{HTML}</div>", MENU),
+        page(f"<div class='post with-comments'>{HTML}</div>", MENU),
+        page(f"<section class='legal news'><article>{HTML}</article></section>", MENU),
+        page(f"<div class='widget'><div role=main>{HTML}</div></div>", MENU),
+        page(f"<div class='legal'>{HTML}</div>", MENU),
+        # What readers write goes, also if it is longer.
+        page(f"<div class=post>{HTML}</div>", MENU,
+             "<div id=comments>" + "<p>I, for one, think so, too.</p>" * 9 + "</div>"),
+        page(f"<main><article>{HTML}</article><div id=comments><article class=comment><p>So, I think, too."
+             "</article></div></main>"),
+    ],
+)
+def test_wrappers_of_the_article_stay(html):
+    assert html_text.main_text(html) == "\n\n".join(ARTICLE)
+
+
+def test_formulas_stay():
+    formula = "<math><semantics><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a{=}2</annotation></semantics></math>"
+    html = f"<article><p>So, with {formula}, we end.</p></article>"
+    assert html_text.main_text(html) == "So, with a=2, we end."
