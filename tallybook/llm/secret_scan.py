@@ -3,7 +3,7 @@
 A vocabulary of frequent character sequences spends few tokens on anything that resembles
 language or code and many on random strings. Candidates are long runs of key characters;
 those with few characters per token are reported, unless they are digests or identifiers of
-a known form.
+a known form. In other runs their parts between separators are tested.
 """
 
 from __future__ import annotations
@@ -40,6 +40,10 @@ IDENTIFIER = re.compile(
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[0-9TZ+/_=.-]+|[a-z+/_=.-]+|[A-Z+/_=.-]+"
 )
+#: Parts of a run; a UUID is one.
+PART = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z0-9]+")
+#: Characters of a run, and of a piece of a key that its own separators cut, at least.
+SHORTEST, PIECE = 20, 4
 
 
 @dataclass(frozen=True)
@@ -88,23 +92,89 @@ def base_spans(text: str, scan: SecretScan) -> list[tuple[int, int, int]]:
 def random_spans(
     text: str, known: list[tuple[int, int, int]], scan: SecretScan, encoding: tiktoken.Encoding
 ) -> list[tuple[int, int, int]]:
-    """Runs of key characters with few characters per token, outside the known spans."""
+    """Runs of key characters with few characters per token, outside the known spans.
+
+    Of a run with more, as behind a path or a host, its parts are tested and reported.
+    """
     found = []
+
+    def free(start: int, end: int) -> bool:
+        return not any(s < end and start < e for s, _, e in known)
+
     for match in RUN.finditer(text):
         run = match[0].strip(".=-_/+")
-        if len(run) < 20 or len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run):
-            continue
-        if IDENTIFIER.fullmatch(run):
+        if len(run) < SHORTEST or _is_digest(run):
             continue
         start = match.start() + match[0].find(run)
         end = start + len(run)
-        if any(s < end and start < e for s, _, e in known):
-            continue
-        if len(run) < scan.max_chars_per_token * len(encoding.encode_ordinary(run)):
-            found.append((start, 3, end))
+        # Words of one case have separators; without any, the ratio decides.
+        if run.isalpha() or not IDENTIFIER.fullmatch(run):
+            if free(start, end) and _poorly_encoded(run, scan, encoding):
+                found.append((start, 3, end))
+                continue
+        for a, b in _random_parts(run, scan, encoding):
+            if free(start + a, start + b):
+                found.append((start + a, 3, start + b))
     return found
 
 
+def _is_digest(run: str) -> bool:
+    return len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run) is not None
+
+
+def _poorly_encoded(run: str, scan: SecretScan, encoding: tiktoken.Encoding) -> bool:
+    return len(run) < scan.max_chars_per_token * len(encoding.encode_ordinary(run))
+
+
+def _random_parts(run: str, scan: SecretScan, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) of parts that are random or hold a random window, and of pieces that make one key."""
+    found: list[tuple[int, int]] = []
+    pieces: list[tuple[int, int]] = []
+
+    def end() -> None:
+        if pieces and pieces[-1][1] - pieces[0][0] >= SHORTEST:
+            found.append((pieces[0][0], pieces[-1][1]))
+        pieces.clear()
+
+    for match in PART.finditer(run):
+        part, (a, b) = match[0], match.span()
+        known = "-" in part or part.isdigit() or IDENTIFIER.fullmatch(part) and not part.isalpha()
+        if len(part) < PIECE or known or _is_digest(part):
+            end()
+        elif len(part) >= SHORTEST and _random_window(part, scan, encoding):
+            # Neighbours of a long part may be names, so it stands alone.
+            end()
+            found.append((a, b))
+        elif _mixed(part) and _poorly_encoded(part, scan, encoding):
+            if pieces and a - pieces[-1][1] > 1:
+                end()
+            pieces.append((a, b))
+        else:
+            end()
+    end()
+    return found
+
+
+def _mixed(part: str) -> bool:
+    return any(map(str.isdigit, part)) + any(map(str.islower, part)) + any(map(str.isupper, part)) > 1
+
+
+def _random_window(part: str, scan: SecretScan, encoding: tiktoken.Encoding) -> bool:
+    """Whether the part, or a window of tokens with enough characters, is poorly encoded."""
+    lengths = [len(token) for token in encoding.decode_tokens_bytes(encoding.encode_ordinary(part))]
+    if len(part) < scan.max_chars_per_token * len(lengths):
+        return True
+    first = chars = 0
+    for last, length in enumerate(lengths):
+        chars += length
+        while chars - lengths[first] >= SHORTEST:
+            chars -= lengths[first]
+            first += 1
+        if chars >= SHORTEST and chars < scan.max_chars_per_token * (last - first + 1):
+            return True
+    return False
+
+
 def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 

@@ -190,3 +190,28 @@ def test_formulas_stay():
     formula = "<math><semantics><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a{=}2</annotation></semantics></math>"
     html = f"<article><p>So, with {formula}, we end.</p></article>"
     assert html_text.main_text(html) == "So, with a=2, we end."
+
+
+KEY = "xK9vQ2mZ7rT4wL8pB3nH6sYd"
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        (f"/home/user/projects/service/configuration/production/credentials/{KEY}", KEY),
+        (f"//storage.example.com/container/reports/2024/summary.csv={KEY}", KEY),
+        (f"see service.example.com/webhooks/incoming/{KEY}/messages/channel/customer/information", KEY),
+        ("/home/user/projects/service/configuration/credentials/xK9vQ2mZ7rT4/wL8pB3nH6sYd",
+         "xK9vQ2mZ7rT4/wL8pB3nH6sYd"),
+        ("customerinformationservice" * 2 + KEY, "customerinformationservice" * 2 + KEY),
+        ("qzxkvjwpqyhgbtrfxnmlkdwz", "qzxkvjwpqyhgbtrfxnmlkdwz"),
+        ("/home/user/projects/service/qzxkvjwpqyhgbtrfxnmlkdwz", "qzxkvjwpqyhgbtrfxnmlkdwz"),
+        ("/home/user/123e4567-e89b-12d3-a456-426614174000/files/of/the/user", None),
+        ("/objects/of/the/store/D41D8CD98F00B204E9800998ECF8427E/contents", None),
+        ("/static/images/2024/01/12/holiday-photograph-of-the-family.jpeg", None),
+        ("com.example.ServiceConfigurationFactoryBeanProvider", None),
+    ],
+)
+def test_random_parts_of_runs(text, value):
+    spans = secret_scan.random_spans(text, [], SCAN, ENCODING)
+    assert [text[a:b] for a, _, b in spans] == ([] if value is None else [value])
