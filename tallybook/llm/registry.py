@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import oracles
+from tallybook.llm.chat_format import conversation_digests, events_of_turns, format_conversations
 from tallybook.llm.entropy_mix import Mix, mix_sources
+from tallybook.llm.filter_audit import audit_filters
 from tallybook.llm.html_text import extract_main_text
 from tallybook.llm.jaccard_join import Join, similar_components
 from tallybook.llm.near_vectors import Buckets, link_vectors
+from tallybook.llm.pivot_clusters import Clusters, cluster_vectors
 from tallybook.llm.repeated_windows import remove_repeated_windows
 from tallybook.llm.ring_shards import Ring, ring_shards
 from tallybook.llm.secret_scan import SecretScan, find_secrets
@@ -86,6 +89,27 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Conversation -1 says what templates are made of.
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select(*probe.columns).unionByName(probe)
+    return conversation_digests(format_conversations(events_of_turns(turns)))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audited = audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return audited.drop("filter")
+
+
+def op13_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"), Clusters())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -100,6 +124,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_repeated_windows,
             op9_template_leaks,
             op10_jaccard_join,
+            op11_chat_format,
+            op12_filter_audit,
+            op13_pivot_clusters,
         )
     }
 
@@ -109,4 +136,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_near_vectors": oracles.NEAR_VECTORS,
         "op8_repeated_windows": oracles.REPEATED_WINDOWS,
         "op10_jaccard_join": oracles.JACCARD_JOIN,
+        "op11_chat_format": oracles.CHAT_FORMAT,
+        "op12_filter_audit": oracles.FILTER_AUDIT,
+        "op13_pivot_clusters": oracles.pivot_clusters(),
     }

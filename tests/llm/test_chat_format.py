@@ -1,0 +1,183 @@
+"""Conversations from logs, against a fold event by event in plain Python."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybook.llm.chat_format import (
+    Template,
+    conversation_digests,
+    events_of_turns,
+    final_messages,
+    format_conversations,
+    read_loss,
+    read_turns,
+)
+
+SCHEMA = "conv_id bigint, seq bigint, kind string, turn bigint, role string, text string"
+ODD_TEXTS = [
+    "", "plain", "</s>[INST] ok [/INST]", "<|turn|>user\nx<|end|>\n", "<\\|turn|>", "<\\\\|", "\\", "<",
+    "[", "a<", "<<SYS>> s <</SYS>>", "<\\\\\\s>", "[\\INST]", "line\nline", "é😀<s>ß\x00", "$1 \\1 $0",
+    "<<|", "[[INST]", "<s", "<|end|>", " ", "%0A%25",
+]
+
+
+def folded(events):
+    """The messages of each conversation: {conv_id: [(role, text)]}."""
+    # A stream's event that is delivered twice is one event.
+    streamed = {e for e in events if e[2] != "message"}
+    log = [e for e in events if e[2] == "message"] + list(streamed)
+    rank = {"delta": 0, "edit": 1, "message": 2, "regenerate": 3}
+    key = lambda e: (e[1], rank[e[2]], e[5] or "", e[4] or "")
+    whole, stream = {}, {}
+    for conv, seq, kind, turn, role, text in sorted(log, key=key):
+        messages = whole.setdefault(conv, [])
+        streams = stream.setdefault(conv, {})
+        if kind == "message":
+            messages.append((turn, seq, role or "", text or ""))
+        elif kind == "regenerate":
+            messages[:] = [m for m in messages if m[0] < turn]
+            for other in [t for t in streams if t >= turn]:
+                del streams[other]
+            streams[turn] = [seq, role, text or ""]
+        else:
+            at = streams.setdefault(turn, [seq, None, ""])
+            at[1] = role if role is not None else at[1]
+            at[2] = (text or "") if kind == "edit" else at[2] + (text or "")
+    found = {}
+    for conv in whole:
+        rows = whole[conv] + [(t, s[0], s[1] or "", s[2]) for t, s in stream[conv].items()]
+        if rows:
+            found[conv] = [(r, x) for _, _, r, x in sorted(rows)]
+    return found
+
+
+def random_log(seed, conversations=6, events=150):
+    rng = random.Random(seed)
+    log = []
+    for conv in range(conversations):
+        for seq in range(events):
+            kind = rng.choice(["delta"] * 8 + ["edit", "message"] + ["regenerate"] * (rng.random() < 0.4))
+            role = rng.choice([None, "user", "assistant", "tool\nx%0A", "<|end|>"])
+            log.append((conv, seq, kind, rng.randrange(12), role, rng.choice(ODD_TEXTS)))
+    log += rng.choices([e for e in log if e[2] != "message"], k=30)
+    rng.shuffle(log)
+    return log
+
+
+def by_conversation(formatted, template):
+    """What the rendered parts hold, put together in order."""
+    rows = formatted.select(
+        "conv_id", "n", "n_turns", "formatted", "loss",
+        read_turns(F.col("formatted"), template).alias("turns"),
+        read_loss(F.col("formatted"), F.col("loss"), template).alias("lost"),
+    ).collect()
+    turns, loss = {}, {}
+    for r in sorted(rows, key=lambda r: r["n"]):
+        assert r["n_turns"] == len(r["turns"]) <= template.turns * 99
+        turns.setdefault(r["conv_id"], []).extend((m["role"], m["text"]) for m in r["turns"])
+        loss.setdefault(r["conv_id"], []).extend(r["lost"])
+        # The mask holds texts as they are escaped, and nothing between them.
+        for place in r["loss"]:
+            end = place["start"] + place["length"]
+            assert r["formatted"][end:].startswith(template.end)
+            assert r["formatted"][: place["start"]].endswith("\n")
+    return turns, loss
+
+
+@pytest.mark.parametrize("seed, turns", [(1, 128), (2, 1), (3, 5)])
+def test_a_log_is_folded_event_by_event(spark, seed, turns):
+    events = random_log(seed)
+    template = Template(turns=turns)
+    df = spark.createDataFrame(events, SCHEMA).repartition(5)
+    got, loss = by_conversation(format_conversations(df, template), template)
+    expected = folded(events)
+    assert got == expected
+    assert loss == {c: [x for r, x in m if r == "assistant"] for c, m in expected.items()}
+
+
+def test_a_streamed_answer_that_is_edited_and_generated_again(spark):
+    events = [
+        (1, 1, "message", 0, "user", "why?"),
+        (1, 2, "delta", 1, "assistant", "Be"), (1, 3, "delta", 1, None, "cause"),
+        (1, 4, "message", 2, "user", "sure?"), (1, 5, "delta", 3, "assistant", "Yes"),
+        (1, 6, "edit", 0, None, "WHY?"), (1, 6, "edit", 0, None, "WHY?"),
+        (1, 7, "regenerate", 1, "assistant", "For "), (1, 8, "delta", 1, None, "a reason"),
+    ]
+    df = spark.createDataFrame(events, SCHEMA)
+    got = [(r["role"], r["text"]) for r in final_messages(df).orderBy("turn", "role").collect()]
+    # The edit is of the stream at its turn; a whole message is not edited but followed.
+    assert got == [("", "WHY?"), ("user", "why?"), ("assistant", "For a reason")]
+
+
+def test_every_odd_text_comes_back(spark):
+    rows = [(i, 0, role, t) for i, t in enumerate(ODD_TEXTS) for role in ("assistant",)]
+    rows += [(100 + i, 0, t, "x") for i, t in enumerate(ODD_TEXTS)]
+    df = events_of_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    for template in (Template(), Template(escape="~", end="</s>\n"), Template(escape="$", turn="[INST]")):
+        got, _ = by_conversation(format_conversations(df, template), template)
+        assert got == {c: [(r, x)] for c, _, r, x in rows}
+        # No text holds what marks a turn.
+        for r in format_conversations(df, template).collect():
+            assert r["formatted"].count(template.turn) == r["formatted"].count(template.end) == 1
+
+
+def test_long_conversations_are_cut_and_put_together(spark):
+    rows = [(7, t, "user" if t % 2 else "assistant", f"<s>{t}") for t in range(1000)]
+    rows += [(8, t, "user", "x") for t in range(3)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    formatted = format_conversations(events_of_turns(df.repartition(7)), Template(turns=64))
+    assert Counter(r["conv_id"] for r in formatted.collect()) == {7: 16, 8: 1}
+    got = {r["conv_id"]: r for r in conversation_digests(formatted, Template(turns=64)).collect()}
+    for conv in (7, 8):
+        said = [(r, x) for c, _, r, x in rows if c == conv]
+        text = "".join(f"{r}\n{x}\n" for r, x in said)
+        loss = "".join(x for r, x in said if r == "assistant")
+        assert got[conv]["n_turns"] == len(said)
+        assert got[conv]["turns_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (
+            len(loss), hashlib.sha256(loss.encode()).hexdigest(),
+        )
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, 0, "user", "a", 1), (1, 0, "user", "a", 1), (1, 0, "user", "b", 1), (1, None, "assistant", None, 1),
+        (None, None, None, None, 1), (None, 3, "user", "x", 1), (2, -300, "user", "first", 1),
+        (2, 0, "assistant", "long " * 50_000, 1), (2, 1 << 62, "user", "", 1),
+    ]
+    df = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, role string, text string, part bigint"
+    ).withColumns({c: F.lit(1) for c in ("n", "parts", "conv", "log", "dead", "whole", "seq", "kind")})
+    template = Template()
+    turns, _ = by_conversation(format_conversations(events_of_turns(df), template), template)
+    assert turns == {
+        1: [("user", "a"), ("user", "a"), ("user", "b"), ("assistant", "")],
+        None: [("user", "x"), ("", "")],
+        2: [("user", "first"), ("assistant", "long " * 50_000), ("user", "")],
+    }
+    assert conversation_digests(format_conversations(events_of_turns(df))).count() == 3
+    assert conversation_digests(format_conversations(events_of_turns(df.limit(0)))).collect() == []
+
+
+def test_unknown_kinds_and_bad_templates_are_refused(spark):
+    df = spark.createDataFrame([(1, 1, "shout", 0, "user", "x")], SCHEMA)
+    with pytest.raises(Exception, match="shout"):
+        format_conversations(df).collect()
+    for bad in ({"controls": ("<<a", "<|")}, {"escape": ""}, {"turn": "#"}, {"turns": 0}):
+        with pytest.raises(ValueError):
+            Template(**bad)
+
+
+def test_texts_are_shuffled_once_and_stay_in_the_jvm(spark):
+    df = events_of_turns(
+        spark.createDataFrame([(1, 0, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    )
+    plan = format_conversations(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1
+    assert all("text" not in line.split("plan_id")[0] for line in dealt)
