@@ -1,13 +1,16 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 A template is a text whose numbers, names and units are replaced by placeholders of their
-type. Windows of templates, and of the plain words, are looked up in those of the benchmark. A
-match of templates counts if the slots agree: one value of the item stands for one value of
-the document throughout, and the other way round. Equal words in one stretch count by themselves.
-
-Every window of the benchmark has an anchor, its longest word that is no placeholder. Documents
-are only looked at around words that may be anchors, which a table of flags of a fixed size
-tells; candidates then meet the windows in an equi-join on the anchor.
+type, which the form of a word alone decides: what begins with a capital is read as a name, and
+plain windows, without regard to case, read it as the word it is. Windows of templates, and of the
+plain words, are looked up in those of the benchmark. A match of templates counts if the slots
+agree: one value of the item stands for one value of the document throughout, and the other way
+round. Equal words in one stretch count by themselves.
+
+Every window of the benchmark has an anchor, two of its words side by side that are no
+placeholders, or one where no two are. Documents are only looked at around words that may be
+anchors, which a table of bits tells; the candidates then meet the windows in an equi-join, whose
+sides are plain rows, so that Spark can split a hot anchor.
 """
 
 from __future__ import annotations
@@ -29,9 +32,8 @@ UNITS = (
     "kilometres watt watts kw kwh volt volts joule joules byte bytes kb mb gb tb hz khz mhz ghz "
     "mph kmh acre acres hectare hectares"
 ).split()
-NAME = ""
-NAMES = r"(?<=[\p{L}\p{N},;:)] )(\p{Lu}[\p{Ll}\p{M}]+)"
-NO_WORD = rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]+"
+NO_WORD = r"[^\p{L}\p{N}\p{M}\x20\x09-\x0D]+"
 #: The longest stretch of consecutive numbers in the sorted array ``same``.
 STRETCH = """aggregate(
     same, struct(-2 AS last, 0 AS long, 0 AS most),
@@ -39,108 +41,156 @@ STRETCH = """aggregate(
         x AS last, IF(x = s.last + 1, s.long + 1, 1) AS long,
         greatest(s.most, IF(x = s.last + 1, s.long + 1, 1)) AS most),
     s -> s.most)"""
-#: Flags of possible anchors.
-FLAGS = 1 << 18
+#: Bits of the table of anchors for each of them, and the logarithm of its longs at most: 2 MB.
+BITS_EACH, MOST_SLOTS = 16, 18
 
 
 @dataclass(frozen=True)
 class Leaks:
-    """window: words of a window; an item with fewer is one window, down to ``shortest`` words.
+    """window: words of a window; an item with fewer is one window.
 
     words: how many words of an item, in one run of windows, make a leak, or all of a shorter
-    item. literal: words of a window of a template that are no placeholders, at least.
+    item. literal: a window of a template with fewer words that are no placeholders is dense; it
+    counts where a run holds the whole item only. shortest: items with fewer words have plain
+    windows only, and a template that is shorter than a window needs ``short_literal`` words that
+    are no placeholders.
     """
 
     window: int = 8
-    shortest: int = 5
     words: int = 13
     literal: int = 4
+    shortest: int = 5
+    short_literal: int = 3
 
     def __post_init__(self) -> None:
-        if not 1 <= self.literal <= self.shortest <= self.window:
+        if not 1 <= self.short_literal <= self.shortest <= self.window or self.literal < 1:
             raise ValueError(f"not a set of limits: {self}")
 
 
 def template_words(text: Column) -> Column:
-    """Lower-case words without punctuation; a mark stands before the names."""
-    marked = F.regexp_replace(text, NAMES, NAME + "$1")
-    plain = F.trim(F.regexp_replace(F.lower(marked), NO_WORD, ""), F.lit(" \t\n\x0b\x0c\r"))
-    return F.filter(F.split(plain, r"[\x20\x09-\x0D]+"), lambda word: word != "")
-
-
-def _bare(word: Column) -> Column:
-    return F.translate(word, NAME, "")
+    """Words without punctuation, as they are written; one empty word if there are none."""
+    plain = F.regexp_replace(text, NO_WORD, "")
+    return F.split(F.trim(plain, F.lit(" \t\n\x0b\x0c\r")), GAP)
 
 
 def _typed(word: Column) -> Column:
     return (
-        F.when(word.startswith(NAME), "<name>")
-        .when(word.rlike(r"^\p{N}"), "<number>")
-        .when(word.isin(UNITS), "<unit>")
-        .otherwise(word)
+        F.when(word.rlike(r"^\p{N}"), "<number>")
+        .when(F.lower(word).isin(UNITS), "<unit>")
+        .when(word.rlike(r"^\p{Lu}.*\p{Ll}"), "<name>")
+        .otherwise(F.lower(word))
     )
 
 
+def _is_literal(word: Column) -> Column:
+    return ~_typed(word).startswith("<")
+
+
 def _plain_hash(words: Column) -> Column:
-    return F.xxhash64(F.lit("plain"), F.transform(words, _bare))
+    return F.xxhash64(F.lit("plain"), F.transform(words, F.lower))
 
 
 def _template_hash(words: Column) -> Column:
     return F.xxhash64(F.lit("template"), F.transform(words, _typed))
 
 
+def _anchor(literal: bool) -> Column:
+    """(words, n, key, i) of the anchor of a window: the two words, or the word, with the most
+    characters. With ``literal``, of those that are no placeholders; null if there are none."""
+
+    def fits(*words: Column) -> Column:
+        found = F.lit(True)
+        for word in words if literal else ():
+            found = found & _is_literal(word)
+        return found
+
+    def one(word: Column, i: Column) -> Column:
+        key = F.xxhash64(F.lower(word))
+        return F.when(
+            fits(word),
+            F.struct(F.lit(1).alias("words"), F.length(word).alias("n"), key.alias("key"), i.alias("i")),
+        )
+
+    def two(word: Column, i: Column) -> Column:
+        then = F.get("words", i + 1)
+        key = F.xxhash64(F.lower(word), F.lower(then))
+        size = F.length(word) + F.length(then)
+        return F.when(
+            then.isNotNull() & fits(word, then),
+            F.struct(F.lit(2).alias("words"), size.alias("n"), key.alias("key"), i.alias("i")),
+        )
+
+    return F.array_max(F.concat(F.transform("words", one), F.transform("words", two)))
+
+
 def benchmark_windows(items: DataFrame, leaks: Leaks) -> DataFrame:
-    """(anchor, offset, length, hash, plain, item_id, at, words, item_words) of every window."""
+    """(key, pair, offset, length, hash, plain, dense, item_id, at, words, item_words) of every
+    window; ``key`` is the hash of its anchor, ``offset`` its place, ``pair`` if it is two words."""
     split = items.where("text is not null").select(
-        "item_id", template_words(F.col("text")).alias("all")
-    )
-    sized = split.withColumn("item_words", F.size("all")).where(
-        F.col("item_words") >= leaks.shortest
-    )
-    cut = sized.withColumn("length", F.least("item_words", F.lit(leaks.window))).select(
-        "item_id",
-        "item_words",
-        "length",
-        F.posexplode(
-            F.expr("transform(sequence(1, item_words - length + 1), i -> slice(all, i, length))")
-        ).alias("at", "words"),
+        "item_id", F.filter(template_words(F.col("text")), lambda w: w != "").alias("all")
     )
-    longest = F.array_max(
-        F.filter(
-            F.transform(
-                "words", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("word"), i.alias("i"))
-            ),
-            lambda x: _typed(x["word"]) == x["word"],
+    cut = (
+        split.withColumn("item_words", F.size("all"))
+        .where("item_words > 0")
+        .withColumn("length", F.least("item_words", F.lit(leaks.window)))
+        .select(
+            "item_id",
+            "item_words",
+            "length",
+            F.posexplode(
+                F.expr("transform(sequence(1, item_words - length + 1), i -> slice(all, i, length))")
+            ).alias("at", "words"),
         )
+        .withColumn("literals", F.size(F.filter("words", _is_literal)))
     )
-    both = cut.withColumn("typed", F.transform("words", _typed)).withColumn("longest", longest)
-    first = F.array_max(
-        F.transform("words", lambda w, i: F.struct(F.length(_bare(w)).alias("n"), _bare(w).alias("word"), i.alias("i")))
-    )
     shared = ["length", "item_id", "item_words", "at", "words"]
-    plain = both.withColumn("longest", first).select(
-        *shared, "longest", _plain_hash(F.col("words")).alias("hash"), F.lit(True).alias("plain")
-    )
-    literal = F.size(F.filter("typed", lambda w: ~w.startswith("<")))
-    templates = both.where((F.col("typed") != F.col("words")) & (literal >= leaks.literal)).select(
-        *shared, "longest", _template_hash(F.col("words")).alias("hash"), F.lit(False).alias("plain")
-    )
+    plain = cut.select(
+        *shared, _anchor(False).alias("anchor"), _plain_hash(F.col("words")).alias("hash"),
+        F.lit(True).alias("plain"), F.lit(False).alias("dense"),
+    )
+    least = F.when(F.col("item_words") < leaks.window, leaks.short_literal).otherwise(1)
+    templates = cut.where(
+        (F.col("item_words") >= leaks.shortest)
+        & (F.col("literals") < F.col("length"))
+        & (F.col("literals") >= least)
+    ).select(
+        *shared, _anchor(True).alias("anchor"), _template_hash(F.col("words")).alias("hash"),
+        F.lit(False).alias("plain"), (F.col("literals") < leaks.literal).alias("dense"),
+    )
     return plain.unionByName(templates).select(
-        F.col("longest.word").alias("anchor"), F.col("longest.i").alias("offset"), "hash", "plain",
-        *shared,
+        F.col("anchor.key").alias("key"), (F.col("anchor.words") == 2).alias("pair"),
+        F.col("anchor.i").alias("offset"), "hash", "plain", "dense", *shared,
     )
 
 
-def _flags(windows: DataFrame) -> bytes:
-    """A byte for each value of a small hash: 1 if an anchor has it. FLAGS values at most."""
-    flags = bytearray(FLAGS)
-    for (value,) in windows.select(_flag(F.col("anchor"))).distinct().toLocalIterator():
-        flags[value] = 1
-    return bytes(flags)
+def _bits(windows: DataFrame) -> tuple[DataFrame, int]:
+    """One row with an array of 2^k longs, and k: a bit is set for the key of each anchor.
+
+    The high bits of a key choose the long and the low ones the bit. The table grows with the
+    anchors up to a fixed size; beyond, more words that are no anchors pass and are joined in vain.
+    """
+    keys = windows.select("key").distinct()
+    slots = 0
+    while slots < MOST_SLOTS and 64 << slots < BITS_EACH * keys.count():
+        slots += 1
+    set_bits = keys.groupBy(F.expr(_slot("key", slots)).alias("id")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("bits")
+    )
+    every = windows.sparkSession.range(1 << slots).join(set_bits, "id", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    return checkpointed(every.agg(ordered["bits"].alias("bits"))), slots
 
 
-def _flag(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(FLAGS)).cast("int")
+def _slot(key: str, slots: int) -> str:
+    return f"shiftrightunsigned({key}, {64 - slots})" if slots else "0L"
+
+
+def _places(key: str, slots: int) -> Column:
+    """Where in ``lowered`` an anchor may begin."""
+    bit = f"getbit(get(bits, CAST({_slot(key, slots)} AS INT)), CAST({key} & 63 AS INT))"
+    return F.expr(
+        f"filter(transform(lowered, (w, i) -> IF({bit} = 1, i, NULL)), i -> i IS NOT NULL)"
+    )
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
@@ -148,83 +198,75 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
 
     ``n_words`` counts the words of the item that the document holds in one run, and ``exact``
     says that they are the same words. ``text_hash`` is the xxhash64 of the document's text, to
-    tell rows with equal or null ids apart. Null and empty texts leak nothing, items of fewer
-    than ``leaks.shortest`` words are in nothing, rows that repeat count once, a null item_id is
-    one item, and an empty table on either side gives no rows. Other columns are ignored.
+    tell rows with equal or null ids apart. Null and empty texts leak nothing, items without
+    words are in nothing, and of those of fewer than ``leaks.shortest`` words, as of windows
+    without a word that is no placeholder, only the same words are found. Rows that repeat count
+    once, a null item_id is one item, and an empty table on either side gives no rows. Other
+    columns are ignored.
     """
     require_columns(docs, "doc_id", "text")
     require_columns(items, "item_id", "text")
     windows = checkpointed(benchmark_windows(items.select("item_id", "text").distinct(), leaks))
-    flags, side = F.lit(_flags(windows)), leaks.window - 1
+    bits, slots = _bits(windows)
+    side = leaks.window - 1
     pad = F.array_repeat(F.lit(""), side)
-    # How many words a side of the anchor takes is fixed, so the anchor stands in the middle.
+    one, two = "xxhash64(w)", "xxhash64(w, get(lowered, i + 1))"
+
+    def places(name: str, pair: bool) -> Column:
+        # How many words a side of the anchor takes is fixed, so it begins in the middle.
+        return F.transform(
+            name,
+            lambda i: F.struct(
+                i.alias("place"), F.slice("padded", i + 1, 2 * side + 1).alias("around"),
+                F.lit(pair).alias("pair"),
+            ),
+        )
+
     around = (
         docs.where("text is not null")
         .select("doc_id", F.xxhash64("text").alias("text_hash"), template_words(F.col("text")).alias("all"))
+        .withColumn("lowered", F.transform("all", F.lower))
+        # A subquery: the bits are in no plan, and every task gets them once.
+        .withColumn("bits", bits.scalar())
         .select(
             "doc_id", "text_hash", F.concat(pad, F.col("all"), pad).alias("padded"),
-            F.filter(
-                F.transform(
-                    "all",
-                    lambda w, i: F.when(
-                        F.substring(flags, _flag(_bare(w)) + 1, 1) == F.lit(b"\x01"), i
-                    ),
-                ),
-                lambda i: i.isNotNull(),
-            ).alias("places"),
-        )
-        .where(F.size("places") > 0)
-        .select(
-            "doc_id", "text_hash",
-            F.explode(
-                F.transform(
-                    "places",
-                    lambda i: F.struct(
-                        i.alias("place"), F.slice("padded", i + 1, 2 * side + 1).alias("around")
-                    ),
-                )
-            ).alias("x"),
+            _places(one, slots).alias("ones"), _places(two, slots).alias("twos"),
         )
+        .where("size(ones) + size(twos) > 0")
+        .select("doc_id", "text_hash", F.explode(F.concat(places("ones", False), places("twos", True))).alias("x"))
         .select("doc_id", "text_hash", "x.*")
-        .withColumn("anchor", _bare(F.col("around")[side]))
     )
-    by_anchor = windows.groupBy("anchor").agg(
-        F.collect_list(
-            F.struct("offset", "hash", "plain", "length", "item_id", "item_words", "at", "words")
-        ).alias("windows")
+    first, second = (F.lower(F.col("around")[side + i]) for i in (0, 1))
+    key = F.when(F.col("pair"), F.xxhash64(first, second)).otherwise(F.xxhash64(first))
+    if side == 0:
+        key = F.xxhash64(first)
+    met = around.withColumn("key", key).join(windows, ["key", "pair"])
+    doc_side = F.slice("around", F.lit(side + 1) - F.col("offset"), F.col("length"))
+    same = F.when(F.col("plain"), _plain_hash(F.col("doc_side"))).otherwise(
+        _template_hash(F.col("doc_side"))
     )
-
-    def same(window: Column) -> Column:
-        found = F.slice("around", F.lit(side + 1) - window["offset"], window["length"])
-        return F.when(window["plain"], _plain_hash(found)).otherwise(_template_hash(found)) == (
-            window["hash"]
-        )
-
     matched = (
-        around.join(by_anchor, "anchor")
-        .select("doc_id", "text_hash", "place", "around", F.filter("windows", same).alias("w"))
-        .select("doc_id", "text_hash", "place", "around", F.explode("w").alias("w"))
+        met.withColumn("doc_side", doc_side)
+        .where(same == F.col("hash"))
         .select(
-            "doc_id", "text_hash", "w.item_id", "w.item_words", "w.at", "w.length", "w.plain",
+            "doc_id", "text_hash", "item_id", "item_words", "at", "length", "plain", "dense",
             # Windows of one run keep their distance from those of the item.
-            (F.col("place") - F.col("w.offset") - F.col("w.at")).alias("shift"),
-            F.col("w.words").alias("item_side"),
-            F.slice("around", F.lit(side + 1) - F.col("w.offset"), F.col("w.length")).alias("doc_side"),
+            (F.col("place") - F.col("offset") - F.col("at")).alias("shift"),
+            F.col("words").alias("item_side"), "doc_side",
         )
     )
     matched = checkpointed(matched)
     run = ["doc_id", "text_hash", "item_id", "item_words", "shift"]
+
+    def covered(condition: str) -> Column:
+        """The places of the item that windows of this kind cover."""
+        places = F.expr(f"IF({condition}, sequence(at, at + length - 1), NULL)")
+        return F.array_distinct(F.flatten(F.collect_set(places)))
+
     runs = matched.groupBy(*run).agg(
-        F.size(
-            F.array_distinct(
-                F.flatten(F.collect_set(F.expr("sequence(at, at + length - 1)")))
-            )
-        ).alias("n_words"),
-        F.array_sort(
-            F.array_distinct(
-                F.flatten(F.collect_set(F.expr("IF(plain, sequence(at, at + length - 1), NULL)")))
-            )
-        ).alias("same"),
+        F.size(covered("NOT dense")).alias("n_words"),
+        F.size(covered("true")).alias("n_all"),
+        F.array_sort(covered("plain")).alias("same"),
     )
     runs = runs.withColumn("same_words", F.size("same")).withColumn("stretch", F.expr(STRETCH)).drop("same")
     clashing = _clashing_slots(matched, run)
@@ -237,8 +279,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
     )
     # Slots that clash speak against the templates of a run, not against its equal words.
     held = judged.withColumns(
-        {c: F.when(F.col("clash"), F.col("stretch")).otherwise(F.col(c)) for c in ("n_words", "same_words")}
-    )
+        {
+            c: F.when(F.col("clash"), F.col("stretch")).otherwise(F.col(c))
+            for c in ("n_words", "n_all", "same_words")
+        }
+    ).withColumn(
+        # Dense windows count where the whole item is there.
+        "n_words", F.when(F.col("n_all") == F.col("item_words"), F.col("n_all")).otherwise(F.col("n_words"))
+    )
     return (
         held.where(F.col("n_words") >= F.least("item_words", F.lit(leaks.words)))
         .groupBy("doc_id", "text_hash", "item_id", "item_words")
@@ -256,12 +304,12 @@ def _clashing_slots(matched: DataFrame, run: list[str]) -> DataFrame:
         matched.where("not plain")
         .select(*run, F.explode(F.arrays_zip("item_side", "doc_side")).alias("s"))
         .withColumn("kind", _typed(F.col("s.item_side")))
-        .where(F.col("kind") != F.col("s.item_side"))
+        .where(F.col("kind").startswith("<"))
         .select(
-            *run, "kind", _bare(F.col("s.item_side")).alias("mine"), _bare(F.col("s.doc_side")).alias("other")
+            *run, "kind", F.lower("s.item_side").alias("mine"), F.lower("s.doc_side").alias("other")
         )
         .distinct()
-    )
+    )
     two = slots.groupBy(*run, "kind", "mine").count().unionByName(
         slots.groupBy(*run, "kind", F.col("other").alias("mine")).count()
     )
@@ -269,10 +317,15 @@ def _clashing_slots(matched: DataFrame, run: list[str]) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
-    """The documents, with all their columns, that hold no item of the benchmark."""
+    """The documents, with all their columns, whatever their names, that hold no item of the
+    benchmark. Odd rows are as in ``find_leaks``: a document without a text stays."""
     found = find_leaks(docs, items, leaks).select(
-        F.col("doc_id").alias("_leak"), F.col("text_hash").alias("_hash")
-    )
-    return docs.join(
-        found.distinct(), F.expr("doc_id <=> _leak") & (F.xxhash64("text") == F.col("_hash")), "left_anti"
+        F.col("doc_id").alias("leak"), F.col("text_hash").alias("leak_hash")
     )
+    # In one struct, the given columns clash with nothing.
+    given = docs.select(F.struct("*").alias("given"))
+    return given.join(
+        found.distinct(),
+        F.expr("given.doc_id <=> leak AND xxhash64(given.text) = leak_hash"),
+        "left_anti",
+    ).select("given.*")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm.template_leaks import Leaks, find_leaks, without_leaks
 
@@ -50,7 +51,51 @@ def test_one_item(spark, text, exact):
 def test_short_and_odd_items(spark):
     items = ["Name the capital of France", "Too short", None, "", "1 2 3 4 5 6 7 8 9"]
     texts = ["Please name the capital of France now", "too short", "1 2 3 4 5 6 7 8 9"]
-    assert leaks(spark, texts, items) == {(0, 0): True, (2, 4): True}
+    assert leaks(spark, texts, items) == {(0, 0): True, (1, 1): True, (2, 4): True}
+
+
+@pytest.mark.parametrize(
+    "item, text, exact",
+    [
+        # Names at the start of a text, a sentence, a line, and behind a colon.
+        ("Natalia sold clips to 48 of her friends in April",
+         "Maria sold clips to 31 of her friends in April", False),
+        ("Natalia sold clips to 48 of her friends in April",
+         "Question: Maria sold clips to 31 of her friends in May", False),
+        ("Tom has 5 apples. Tom gives 2 to Sarah.", "Jim has 7 apples. Jim gives 3 to Anna.", False),
+        ("Tom has 5 apples. Tom gives 2 to Sarah.", "Jim has 7 apples. Bob gives 3 to Anna.", None),
+        ("Tom has 5 apples. Tom gives 2 to Sarah.", "it says\nJim has 7 apples.\nJim gives 3 to Anna", False),
+        # What is written small in the document is the same word.
+        ("What is the height of this very old tower", "and what is the height of this very old tower", True),
+        # Dense in numbers: the whole item, with all slots consistent, and no less.
+        ("Compute 12 7 3 4 2 plus 9 and 12 times 8", "Compute 10 6 5 1 3 plus 2 and 10 times 4", False),
+        ("Compute 12 7 3 4 2 plus 9 and 12 times 8", "Compute 10 6 5 1 3 plus 2 and 11 times 4", None),
+        ("Compute 12 7 3 4 2 plus 9 and 12 times 8", "Compute 10 6 5 1 3 plus 2 and nothing", None),
+        # Short items: the same words, or a template with enough words that are no placeholders.
+        ("two red dogs", "I saw two red dogs", True), ("two red dogs", "two red cats", None),
+        ("Paris", "in PARIS now", True), ("The cost is 5 dollars now", "The cost is 7 euros now", False),
+        ("Cost is 5 dollars now", "Cost is 7 euros now", None),
+    ],
+)
+def test_items_with_other_values(spark, item, text, exact):
+    assert leaks(spark, [text], [item]) == ({} if exact is None else {(0, 0): exact})
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["leak", "leak_hash", "given", "key", "pair", "place", "all", "bits", "hash", "_leak", "_hash"]
+    docs = spark.createDataFrame([(1, ITEM), (2, "clean")], "doc_id bigint, text string")
+    docs = docs.withColumns({name: F.lit(name) for name in names})
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    (row,) = without_leaks(docs, bench).collect()
+    assert row["doc_id"] == 2 and all(row[name] == name for name in names)
+    assert row.asDict().keys() == set(docs.columns)
+
+
+def test_no_table_is_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, ITEM), (2, "clean")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, f"{ITEM} {i}") for i in range(200)], "item_id bigint, text string")
+    plan = find_leaks(docs, bench)._jdf.queryExecution().toString()
+    assert len(plan) < 100_000 and "Python" not in plan
 
 
 def test_random_passages_against_brute_force(spark):
