@@ -41,8 +41,8 @@ STRETCH = """aggregate(
         x AS last, IF(x = s.last + 1, s.long + 1, 1) AS long,
         greatest(s.most, IF(x = s.last + 1, s.long + 1, 1)) AS most),
     s -> s.most)"""
-#: Bits of the table of anchors for each of them, and the logarithm of its longs at most: 2 MB.
-BITS_EACH, MOST_SLOTS = 16, 18
+#: Bits of the table of anchors for each of them, and the logarithm of its rows at most: 4 MB.
+BITS_EACH, MOST_SLOTS = 256, 18
 
 
 @dataclass(frozen=True)
@@ -124,8 +124,8 @@ def _anchor(literal: bool) -> Column:
 
 
 def benchmark_windows(items: DataFrame, leaks: Leaks) -> DataFrame:
-    """(key, pair, offset, length, hash, plain, dense, item_id, at, words, item_words) of every
-    window; ``key`` is the hash of its anchor, ``offset`` its place, ``pair`` if it is two words."""
+    """(key, offset, length, hash, plain, dense, item_id, at, words, item_words) of every window;
+    ``key`` is the hash of its anchor and ``offset`` the anchor's place in it."""
     split = items.where("text is not null").select(
         "item_id", F.filter(template_words(F.col("text")), lambda w: w != "").alias("all")
     )
@@ -158,39 +158,29 @@ def benchmark_windows(items: DataFrame, leaks: Leaks) -> DataFrame:
         F.lit(False).alias("plain"), (F.col("literals") < leaks.literal).alias("dense"),
     )
     return plain.unionByName(templates).select(
-        F.col("anchor.key").alias("key"), (F.col("anchor.words") == 2).alias("pair"),
-        F.col("anchor.i").alias("offset"), "hash", "plain", "dense", *shared,
+        F.col("anchor.key").alias("key"), F.col("anchor.i").alias("offset"), "hash", "plain", "dense", *shared,
     )
 
 
 def _bits(windows: DataFrame) -> tuple[DataFrame, int]:
-    """One row with an array of 2^k longs, and k: a bit is set for the key of each anchor.
+    """(slot, bits) and k, where slots have k bits: a bit is set for the key of each anchor.
 
-    The high bits of a key choose the long and the low ones the bit. The table grows with the
-    anchors up to a fixed size; beyond, more words that are no anchors pass and are joined in vain.
+    The high bits of a key choose the slot and the low ones the bit. The table grows with the
+    anchors up to 2^MOST_SLOTS rows; beyond, more words that are no anchors pass and are joined
+    in vain.
     """
     keys = windows.select("key").distinct()
-    slots = 0
-    while slots < MOST_SLOTS and 64 << slots < BITS_EACH * keys.count():
+    wanted, slots = BITS_EACH * keys.count(), 0
+    while slots < MOST_SLOTS and 64 << slots < wanted:
         slots += 1
-    set_bits = keys.groupBy(F.expr(_slot("key", slots)).alias("id")).agg(
+    bits = keys.groupBy(_slot(slots).alias("slot")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("bits")
     )
-    every = windows.sparkSession.range(1 << slots).join(set_bits, "id", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
-    return checkpointed(every.agg(ordered["bits"].alias("bits"))), slots
+    return checkpointed(bits), slots
 
 
-def _slot(key: str, slots: int) -> str:
-    return f"shiftrightunsigned({key}, {64 - slots})" if slots else "0L"
-
-
-def _places(key: str, slots: int) -> Column:
-    """Where in ``lowered`` an anchor may begin."""
-    bit = f"getbit(get(bits, CAST({_slot(key, slots)} AS INT)), CAST({key} & 63 AS INT))"
-    return F.expr(
-        f"filter(transform(lowered, (w, i) -> IF({bit} = 1, i, NULL)), i -> i IS NOT NULL)"
-    )
+def _slot(slots: int) -> Column:
+    return F.shiftrightunsigned("key", 64 - slots) if slots else F.lit(0).cast("long")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> DataFrame:
@@ -210,37 +200,32 @@ def find_leaks(docs: DataFrame, items: DataFrame, leaks: Leaks = Leaks()) -> Dat
     bits, slots = _bits(windows)
     side = leaks.window - 1
     pad = F.array_repeat(F.lit(""), side)
-    one, two = "xxhash64(w)", "xxhash64(w, get(lowered, i + 1))"
-
-    def places(name: str, pair: bool) -> Column:
-        # How many words a side of the anchor takes is fixed, so it begins in the middle.
-        return F.transform(
-            name,
-            lambda i: F.struct(
-                i.alias("place"), F.slice("padded", i + 1, 2 * side + 1).alias("around"),
-                F.lit(pair).alias("pair"),
-            ),
-        )
-
+    # All single words, then all words with the next one. No lambda looks into an array that it
+    # runs through: Spark may compute that array for each of its elements.
+    keys = F.expr(
+        "concat(transform(all, w -> xxhash64(lower(w))),"
+        " zip_with(all, slice(all, 2, size(all)), (w, v) -> xxhash64(lower(w), lower(v))))"
+    )
+    # How many words a side of the anchor takes is fixed, so it begins in the middle.
     around = (
         docs.where("text is not null")
         .select("doc_id", F.xxhash64("text").alias("text_hash"), template_words(F.col("text")).alias("all"))
-        .withColumn("lowered", F.transform("all", F.lower))
-        # A subquery: the bits are in no plan, and every task gets them once.
-        .withColumn("bits", bits.scalar())
         .select(
             "doc_id", "text_hash", F.concat(pad, F.col("all"), pad).alias("padded"),
-            _places(one, slots).alias("ones"), _places(two, slots).alias("twos"),
+            F.coalesce(F.size("all"), F.lit(0)).alias("n"), keys.alias("keys"),
+        )
+        # The outer form and the coalesce: else Spark adds filters that compute all this twice.
+        .select("doc_id", "text_hash", "padded", "n", F.posexplode_outer("keys").alias("i", "key"))
+        .withColumn("slot", _slot(slots))
+        # 2^MOST_SLOTS rows at most, whatever the benchmark's size.
+        .join(F.broadcast(bits), "slot")
+        .where("getbit(bits, CAST(key & 63 AS INT)) = 1")
+        .select(
+            "doc_id", "text_hash", "key", F.expr("i % n").alias("place"),
+            F.slice("padded", F.expr("i % n + 1"), 2 * side + 1).alias("around"),
         )
-        .where("size(ones) + size(twos) > 0")
-        .select("doc_id", "text_hash", F.explode(F.concat(places("ones", False), places("twos", True))).alias("x"))
-        .select("doc_id", "text_hash", "x.*")
     )
-    first, second = (F.lower(F.col("around")[side + i]) for i in (0, 1))
-    key = F.when(F.col("pair"), F.xxhash64(first, second)).otherwise(F.xxhash64(first))
-    if side == 0:
-        key = F.xxhash64(first)
-    met = around.withColumn("key", key).join(windows, ["key", "pair"])
+    met = around.join(windows, "key")
     doc_side = F.slice("around", F.lit(side + 1) - F.col("offset"), F.col("length"))
     same = F.when(F.col("plain"), _plain_hash(F.col("doc_side"))).otherwise(
         _template_hash(F.col("doc_side"))
