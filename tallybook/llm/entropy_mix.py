@@ -32,7 +32,7 @@ MIXED_COLUMNS = ("size", "source_size", "target", "copies", "taken")
 class Mix:
     """weights: of the sources in code point order, repeating. most: copies of a document.
 
-    steps: Newton steps. bins, rounds: a cut is searched in so many bins, each round inside one
+    steps: Newton steps at most. bins, rounds: a cut is searched in so many bins, each round inside one
     bin of the round before. passes: how often the rest is filled with documents that fit.
     """
 
@@ -119,6 +119,8 @@ def source_tilts(counts: DataFrame, targets: DataFrame, mix: Mix) -> DataFrame:
     state = checkpointed(state)
     for _ in range(mix.steps):
         state = checkpointed(_newton_step(counts, state, mix))
+        if state.where("NOT met").isEmpty():
+            break
     return state.select(
         "source", "source_size", "target",
         (F.col("tilt") / F.greatest("unit", F.lit(1.0))).alias("tilt"),
@@ -157,7 +159,7 @@ def _newton_step(counts: DataFrame, state: DataFrame, mix: Mix) -> DataFrame:
         .when((F.col("step") > F.col("low")) & (F.col("step") < F.col("high")), F.col("step"))
         .otherwise((F.col("low") + F.col("high")) / 2)
         .alias("tilt"),
-        "low", "high",
+        "low", "high", met.alias("met"),
     )
 
 
@@ -234,60 +236,60 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     document, ``taken`` its words with repeats. Sources are told apart by code point, and
     documents without one are a source of their own, last in order. Copies depend on size,
     source and the hash of id and text, so reruns agree and equal rows are treated alike.
-    Documents without words are taken once. An empty table gives no rows. Columns that clash
-    with the new names are replaced.
+    Documents without words are taken once. An empty table gives no rows. Given columns may have
+    any names; those that clash with the new ones are replaced.
     """
-    require_columns(docs, "doc_id", "text", "source")
-    return rates_to_copies(docs, _balanced(docs, mix), mix)
-
-
-def _balanced(docs: DataFrame, mix: Mix) -> DataFrame:
-    counts = checkpointed(
-        docs.select("source", n_words("text").alias("size"))
-        .groupBy("source", "size")
-        .agg(F.count(F.lit(1)).alias("docs"))
-    )
-    targets = source_targets(
-        counts.select("source", (F.col("size") * F.col("docs")).alias("size")), mix
-    )
-    return source_tilts(counts, targets, mix)
+    kept = [F.col("given")[name].alias(name) for name in docs.columns if name not in MIXED_COLUMNS]
+    return mixed_rows(docs, mix).select(*kept, *MIXED_COLUMNS)
 
 
-def rates_to_copies(docs: DataFrame, tilts: DataFrame, mix: Mix) -> DataFrame:
-    """The documents with whole numbers of copies for their rates."""
-    tilts = checkpointed(tilts)
+def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """(given, size, source_size, target, copies, taken): ``given`` holds each row as it is."""
+    require_columns(docs, "doc_id", "text", "source")
     # Queue places are even by hash, so that neither ids nor sizes decide.
     place = F.shiftrightunsigned(
         F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))), 11
     ) / F.lit(2.0**53)
-
-    def rated(df: DataFrame) -> DataFrame:
-        found = df.join(
-            tilts.withColumnRenamed("source", "_source"), F.expr("source <=> _source")
-        ).drop("_source")
-        rate = _rate(mix, F.col("tilt"), F.col("size"))
-        full = F.col("target") >= F.col("source_size") * mix.most
-        rate = F.when(F.col("size") == 0, 1.0).when(full, float(mix.most)).otherwise(rate)
-        return (
-            found.withColumn("rate", rate)
-            .withColumn("floor", F.floor("rate"))
-            .withColumn("queued", (F.col("size") > 0) & (F.col("floor") < mix.most))
-            # A fraction f goes first where its place is below f.
-            .withColumn("turn", F.col("place") - (F.col("rate") - F.col("floor")))
-        )
-
-    sized = docs.withColumn("size", n_words("text")).withColumn("place", place)
-    slim = checkpointed(rated(sized.select("source", "size", "place")).select(
-        "source", "size", "floor", "queued", "turn"
-    ))
-    cuts = _cuts(slim, tilts.select("source", "target"), mix)
-    mixed = rated(sized).join(
-        cuts.withColumnRenamed("source", "_source"), F.expr("source <=> _source")
+    # In one struct, the given columns clash with nothing.
+    sized = docs.select(
+        F.struct("*").alias("given"), "source", n_words("text").alias("size"), place.alias("place")
+    )
+    # The texts are read here and once more at the end.
+    slim = checkpointed(sized.drop("given"))
+    tilts = checkpointed(_balanced(slim, mix))
+    rated = checkpointed(
+        _rated(slim, tilts, mix).select("source", "size", "floor", "queued", "turn")
+    )
+    cuts = _cuts(rated, tilts.select("source", "target"), mix)
+    mixed = _rated(sized, tilts, mix).join(
+        cuts.withColumnRenamed("source", "s"), F.expr("source <=> s")
     )
     one_more = F.col("queued") & F.expr("exists(cuts, c -> size <= c.limit and turn < c.cut)")
-    copies = F.col("floor") + one_more.cast("long")
-    kept = [c for c in docs.columns if c not in MIXED_COLUMNS]
-    return mixed.withColumn("copies", copies.cast("long")).select(
-        *kept, "size", "source_size", "target", "copies",
+    copies = (F.col("floor") + one_more.cast("long")).cast("long")
+    return mixed.withColumn("copies", copies).select(
+        "given", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def _balanced(slim: DataFrame, mix: Mix) -> DataFrame:
+    counts = checkpointed(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")))
+    targets = source_targets(
+        counts.select("source", (F.col("size") * F.col("docs")).alias("size")), mix
+    )
+    return source_tilts(counts, targets, mix)
+
+
+def _rated(sized: DataFrame, tilts: DataFrame, mix: Mix) -> DataFrame:
+    """``sized`` with what is sure of each document's copies, and its turn for another."""
+    found = sized.join(tilts.withColumnRenamed("source", "s"), F.expr("source <=> s")).drop("s")
+    rate = _rate(mix, F.col("tilt"), F.col("size"))
+    full = F.col("target") >= F.col("source_size") * mix.most
+    rate = F.when(F.col("size") == 0, 1.0).when(full, float(mix.most)).otherwise(rate)
+    return (
+        found.withColumn("rate", rate)
+        .withColumn("floor", F.floor("rate"))
+        .withColumn("queued", (F.col("size") > 0) & (F.col("floor") < mix.most))
+        # A fraction f goes first where its place is below f.
+        .withColumn("turn", F.col("place") - (F.col("rate") - F.col("floor")))
+    )

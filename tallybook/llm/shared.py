@@ -22,12 +22,15 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that all executors share.
 
-    A cluster names the folder in spark.checkpoint.dir; where it is unset, as in tests, a
-    temporary one is set. Its owner clears it, as with any checkpoint.
+    A cluster names the folder in spark.checkpoint.dir; where it is unset, a local session, as in
+    tests, gets a temporary one, and any other is refused: executors would not see each other's
+    files. Its owner clears it, as with any checkpoint.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and context.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallybook-"))
     return f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
 

@@ -47,15 +47,14 @@ class Kernel:
     """decay: weight of a subsequence for each character that it spreads further.
 
     spread: characters a subsequence spreads over at most. toxic_rows, clean_rows: how many
-    different labelled texts training reads at most, drawn by a hash of the text; longer ones
-    than ``longest`` bytes are not drawn. landmarks, rounds, ridge: of the machine.
+    different labelled texts, of any length, training reads at most, drawn by a hash of the text.
+    landmarks, rounds, ridge: of the machine.
     """
 
     decay: float = 0.7
     spread: int = 6
     toxic_rows: int = 1200
     clean_rows: int = 2400
-    longest: int = 8_000
     landmarks: int = 320
     rounds: int = 5
     ridge: float = 1e-3
@@ -130,14 +129,14 @@ class Tokens:
         total = np.zeros(len(self.stream))
         for place, code, weight in self.subsequences(kernel):
             total[place] += weights[code] * weight
-        return np.add.reduceat(total, self.first[:-1]) / _norms(kernel)[np.minimum(self.size, 255)]
+        return np.add.reduceat(total, self.first[:-1]) / _norms(self.size, kernel)
 
     def features(self, chosen: np.ndarray, kernel: Kernel) -> tuple[np.ndarray, ...]:
         """(row, code, value) of the subsequences of some words."""
         row_of = np.full(len(self), -1)
         row_of[chosen] = np.arange(len(chosen))
         rows, codes, values = [], [], []
-        norms = _norms(kernel)[np.minimum(self.size, 255)]
+        norms = _norms(self.size, kernel)
         for place, code, weight in self.subsequences(kernel):
             token = self.of[place]
             keep = row_of[token] >= 0
@@ -147,15 +146,11 @@ class Tokens:
         return np.concatenate(rows), np.concatenate(codes), np.concatenate(values)
 
 
-def _norms(kernel: Kernel) -> np.ndarray:
-    """Length of the feature vector of a word of so many symbols that are all different."""
-    square = np.zeros(256)
-    for size in range(256):
-        n = size + 2
-        square[size] = sum(
-            (far - 1) * max(n - far, 0) * kernel.decay ** (2 * (far - 2))
-            for far in range(2, kernel.spread)
-        )
+def _norms(size: np.ndarray, kernel: Kernel) -> np.ndarray:
+    """Lengths of the feature vectors of words of so many symbols, all different."""
+    square = np.zeros(len(size))
+    for far in range(2, kernel.spread):
+        square += (far - 1) * np.maximum(size + 2 - far, 0) * kernel.decay ** (2 * (far - 2))
     return np.sqrt(np.maximum(square, 1e-9))
 
 
@@ -163,12 +158,14 @@ class Sample:
     """Texts to learn from. Their tokens are made anew, some texts at a time, for every look,
     so that the driver holds little more than the texts."""
 
-    def __init__(self, texts: list[str], at_once: int = 64) -> None:
+    def __init__(self, texts: list[str], at_once: int = 64, characters: int = 200_000) -> None:
         self.texts = len(texts)
-        self._parts = [
-            (start, pa.array(texts[start : start + at_once], pa.string()))
-            for start in range(0, len(texts), at_once)
-        ]
+        self._parts, start, held = [], 0, 0
+        for i, text in enumerate(texts, 1):
+            held += len(text)
+            if i == len(texts) or i - start == at_once or held > characters:
+                self._parts.append((start, pa.array(texts[start:i], pa.string())))
+                start, held = i, 0
         documents, sentences, spelled, first_sentence = [], [], [], 0
         for (start, _), part in zip(self._parts, self.parts(), strict=True):
             documents.append((part.document + start).astype(np.int32))
@@ -342,7 +339,7 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, kernel: Kernel) -> list:
-    """Rows (text, toxic) to train on; how many, and how long they are, is bounded.
+    """Rows (text, toxic) to train on; how many is bounded.
 
     Only ids whose crc32, as text, is no multiple of 5 are drawn. A text counts once for each
     label, and which ones are drawn depends on the hash of the text alone.
@@ -350,9 +347,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, kernel: Kernel) -> list:
     marked = labels.where("toxic in (0, 1) and crc32(string(doc_id)) % 5 <> 0").select(
         F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")
     )
-    slim = docs.where(F.octet_length("text").between(1, kernel.longest)).select(
-        "doc_id", F.xxhash64("text").alias("_hash")
-    )
+    slim = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("_hash"))
     drawn = (
         slim.join(marked, slim["doc_id"] == marked["_id"])
         .groupBy("_hash", "_toxic")

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from tallybook.llm import registry
 from tests.llm.test_jaccard_join import brute_force
 
@@ -73,7 +74,26 @@ def test_odd_rows_pass_every_stage(spark, odd, no_rows):
             assert (out.count() == 0) == (docs.count() == 0)
 
 
+def test_columns_of_any_name_pass_every_stage(spark):
+    rows = [(i, f"text number {i} has words", "a" if i % 2 else None, "en", 3) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    names = ["place", "rate", "floor", "turn", "tilt", "cuts", "_source", "s", "given", "size", "copies", "taken",
+             "target", "source_size", "leak", "_leak", "_hash", "_key", "text_key", "_toxicity", "_copy", "key"]
+    docs = docs.withColumns({name: F.lit(name) for name in names})
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == n for r in out.collect() for n in names), name
+
+
+def test_of_rows_with_one_id_the_smallest_text_hash_stays(spark):
+    rows = [(1, f"the words of text {i} are not those of any other one {i}{i}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [cp.near_duplicates(spark, docs.repartition(n), SF_DIR).collect() for n in (1, 4)]
+    assert kept[0] == kept[1] and len(kept[0]) == 1
+
+
 def test_registered():
     names = [name for name in contract.queries() if name[:2] == "op"]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(names) and "pipeline" in contract.queries()
