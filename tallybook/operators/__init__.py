@@ -15,6 +15,12 @@ from tallybook.operators.totals import (
     gross_margin_ratio,
     pl_subtotals,
 )
+from tallybook.operators.upkeep import (
+    change_totals,
+    kept_totals,
+    maintained_balances,
+    merge_totals,
+)
 
 __all__ = [
     "account_totals",
@@ -23,7 +29,11 @@ __all__ = [
     "bs_section_balance",
     "bs_totals",
     "build_section_balance",
+    "change_totals",
     "gross_margin_ratio",
+    "kept_totals",
+    "maintained_balances",
+    "merge_totals",
     "pl_section_balance",
     "pl_subtotals",
     "posted_lines",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybook.chart import STANDARD, Chart, listed, order_in
 from tallybook.functions import exact_sum, row
@@ -49,13 +49,17 @@ def posted_lines(
     return postings.selectExpr("account_id", "year", *casts(amounts))
 
 
+def require_ansi(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("sums need spark.sql.ansi.enabled: without it, overflows pass silently")
+
+
 def account_totals(posted: DataFrame) -> DataFrame:
     """Debit and credit per (account, year); a side without any amount is NULL.
 
     Amounts that are no decimal(18,2) are summed as they are, at their own scale.
     """
-    if posted.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        raise ValueError("sums need spark.sql.ansi.enabled: without it, overflows pass silently")
+    require_ansi(posted.sparkSession)
     types = dict(posted.dtypes)
     sums = [
         F.expr(exact_sum(side) if types[side] == AMOUNT else f"sum({side})").alias(side)
@@ -124,15 +128,22 @@ def build_section_balance(
     kinds side by side. A section reached through both links yields two rows that differ
     in ``balance`` only, or one row if the balances are equal.
     """
-    pl = row(is_pl="true", statement_section_id=_PL_LINK)
-    bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
-    links = ledger.account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
     section = ledger.section
     if company_id is not None:
         section = section.where(f"company_id = {int(company_id)}")
+    totals = account_totals(posted_lines(ledger, years, company_id))
+    return balances_of_totals(totals, ledger.account, section, chart)
+
+
+def balances_of_totals(
+    totals: DataFrame, account: DataFrame, section: DataFrame, chart: Chart = STANDARD
+) -> DataFrame:
+    """Section balances from the debit and credit of every account and year."""
+    pl = row(is_pl="true", statement_section_id=_PL_LINK)
+    bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
+    links = account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
     summed = (
-        account_totals(posted_lines(ledger, years, company_id))
-        .join(links, "account_id")
+        totals.join(links, "account_id")
         .join(section, "statement_section_id")
         .where("is_pl OR statement_section_order != 0")
         .groupBy(*_KEYS)

@@ -14,16 +14,28 @@ from tallybook.sources.mart import (
     write_section_balance,
 )
 from tallybook.sources.orders import ledger_from_orders
+from tallybook.sources.versions import (
+    VersionConflict,
+    forget_versions,
+    publish,
+    read_version,
+    version_numbers,
+)
 
 __all__ = [
     "Ledger",
+    "VersionConflict",
+    "forget_versions",
     "ledger_from_files",
     "ledger_from_orders",
     "ledger_from_reader",
     "ledger_from_tables",
     "merge_ledgers",
+    "publish",
     "read_section_balance",
+    "read_version",
     "restate_section_balance",
     "save_section_balance",
+    "version_numbers",
     "write_section_balance",
 ]
