@@ -15,6 +15,10 @@ BS_YEAR = 1995
 # 2000 is left out on purpose: 1999 is compared with 2001.
 YEARS = (1995, 1996, 1997, 1998, 1999, 2001)
 
+# Years of a first version, and those that the next one restates.
+FIRST_LOAD = (1992, 1993, 1994, 1995, 1996)
+RESTATED = (1996, 1997, 1998, 1999, 2000, 2001, None)
+
 # Section captions by statement order come first.
 LEDGER = """
 caption(flag, ord, label) AS (
@@ -255,6 +259,13 @@ BODIES = {
     "bs_section_balance": "SELECT * FROM bs_balance",
     "section_balance": "SELECT * FROM mart",
     "section_balance_stored": "SELECT * FROM mart",
+    "section_balance_maintained": "SELECT * FROM mart",
+    "section_balance_published": f"""
+SELECT CAST(1 AS INTEGER) AS version, * FROM mart
+WHERE year BETWEEN {FIRST_LOAD[0]} AND {FIRST_LOAD[-1]}
+UNION ALL
+SELECT 2, * FROM mart WHERE year BETWEEN {FIRST_LOAD[0]} AND {RESTATED[-2]} OR year IS NULL
+""",
     "pl_subtotals": "SELECT * FROM pl_total",
     "bs_totals": "SELECT * FROM bs_total",
     "gross_margin_ratio": """
