@@ -50,7 +50,15 @@ UNLIKELY = re.compile(
 # What a wrapper has or lacks says nothing of its own content.
 LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:no|has|with|without)[_-]\S*", re.IGNORECASE)
 # Names of what readers write, which may be longer than the article.
-READERS = re.compile(r"comment|disqus|repl(?:y|ies)|respond|discussion", re.IGNORECASE)
+READERS = re.compile(r"comment|disqus|repl(?:y|ies)|respond", re.IGNORECASE)
+# Names that a part of an article may have as well: its text decides.
+TOPICAL = re.compile(
+    r"(?:^|[\s_-])(?:related|recommend\w*|discussion|legal|disclaimer|search|copyright|notices?|"
+    r"alert|share|sharing|social|nav\w*|menu|banner|overlay|pager|login|signup)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+# What an article says is never dropped for its name alone.
+SPOKEN = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 figure figcaption table dl li".split())
 UNLIKELY_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar form".split()
@@ -60,7 +68,8 @@ LIKELY = re.compile(r"article|body|content|entry|main|page|post|story|text", re.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
+    # A quote opens a value behind an equals sign only.
+    r"""|<([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:"[^"]*"|'[^']*')?)*+)>"""
     r"|<[a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL,
 )
@@ -154,8 +163,9 @@ def _hidden(node: Node) -> bool:
     return "hidden" in node.marks or node.marks.get("aria-hidden") == "true"
 
 
-def _wrapped(root: Node) -> tuple[dict[int, int], set[int]]:
-    """Of each element its text outside links and controls; those that hold a main or an article."""
+def _wrapped(root: Node) -> tuple[dict[int, int], dict[int, int], set[int]]:
+    """Of each element its text outside links and controls, and its text in links; those that
+    hold a main or an article."""
     order, stack = [], [(root, False)]
     while stack:
         node, nested = stack.pop()
@@ -163,25 +173,43 @@ def _wrapped(root: Node) -> tuple[dict[int, int], set[int]]:
         nested = nested or node.name == "article"
         stack += [(x, nested) for x in node.content if not isinstance(x, str)]
     plain: dict[int, int] = {}
+    linked: dict[int, int] = {}
     holders: set[int] = set()
     for node, nested in reversed(order):
-        if node.name == "a" or node.name in DROPPED and node.name != "form" or _hidden(node):
-            plain[id(node)] = 0
-            continue
-        size = 0
+        size = links = 0
         for x in node.content:
-            size += len(x.strip()) if isinstance(x, str) else plain[id(x)]
-        plain[id(node)] = size
+            if isinstance(x, str):
+                size += len(x.strip())
+            else:
+                size, links = size + plain[id(x)], links + linked[id(x)]
+        if node.name in DROPPED and node.name != "form" or _hidden(node):
+            size = links = 0
+        elif node.name == "a":
+            size, links = 0, size + links
+        plain[id(node)], linked[id(node)] = size, links
         # An article in an article is a comment on it.
         own = node.name == "main" or node.marks.get("role") == "main" or (
             node.name == "article" and not nested and not _unlikely(node)
         )
         if node.parent and (id(node) in holders or own and size):
             holders.add(id(node.parent))
-    return plain, holders
+    return plain, linked, holders
+
+
+def _speaks(node: Node, plain: dict[int, int], linked: dict[int, int]) -> bool:
+    """An element inside an article that reads like a part of it, whatever its name."""
+    names = " ".join(node.marks.get(key, "") for key in ("class", "id"))
+    if not plain[id(node)] or linked[id(node)] > plain[id(node)] / 2:
+        return False
+    if node.name in SPOKEN:
+        return not READERS.search(names) or node.name[0] == "h"
+    # Of its names none may be one that no part of an article has.
+    return node.name == "section" and not UNLIKELY.search(TOPICAL.sub(" ", LAYOUT.sub("", names)))
 
 
-def _dropped(node: Node, inside: bool, plain: dict[int, int], holders: set[int], total: int) -> bool:
+def _dropped(
+    node: Node, inside: bool, plain: dict[int, int], linked: dict[int, int], holders: set[int], total: int
+) -> bool:
     if node.name in DROPPED and node.name != "form":
         return True
     if node.name == "header":
@@ -192,6 +220,8 @@ def _dropped(node: Node, inside: bool, plain: dict[int, int], holders: set[int],
     role = node.marks.get("role", "").lower()
     if not named and node.name != "form" and role not in UNLIKELY_ROLES:
         return False
+    if inside and named and role not in UNLIKELY_ROLES and _speaks(node, plain, linked):
+        return False
     # A wrapper of the article is judged by its score, not by its name.
     if role == "main" or id(node) in holders:
         return False
@@ -202,15 +232,16 @@ def _dropped(node: Node, inside: bool, plain: dict[int, int], holders: set[int],
 
 def _pruned(root: Node) -> None:
     """Take out the elements that are no article."""
-    plain, holders = _wrapped(root)
+    plain, linked, holders = _wrapped(root)
     total = plain[id(root)]
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.name in ("article", "main")
         node.content = [
-            x for x in node.content if isinstance(x, str) or not _dropped(x, inside, plain, holders, total)
-        ]
+            x for x in node.content
+            if isinstance(x, str) or not _dropped(x, inside, plain, linked, holders, total)
+        ]
         stack += [(x, inside) for x in node.content if not isinstance(x, str)]
 
 
@@ -270,24 +301,39 @@ def _scored(order: list[Node], sizes: dict[int, tuple[int, int, int]]) -> Node |
 
 
 def _kept_siblings(best: Node, sizes: dict[int, tuple[int, int, int]]) -> list[Node | str]:
-    """The best container, and of its siblings headings and those that score well or read like text."""
+    """The best container and those of its siblings that belong to it, in page order.
+
+    Some belong by themselves: headings of the page, paragraphs that read like running text, and
+    what scores well. Between the first and the last of these every text does, however short. In
+    a container that is not the whole page, so do paragraphs, lists, lower headings and elements
+    of the same name, unless links make up much of them.
+    """
     if best.parent is None or best.name in ("body", "html"):
         return [best]
     least = max(10.0, best.score * 0.2)
-    kept: list[Node | str] = []
+    page = best.parent.name in ("body", "html", "#root")
+    sure: list[bool] = []
+    texts: list[bool] = []
     for x in best.parent.content:
-        if x is best:
-            kept.append(x)
-        elif not isinstance(x, str):
-            length, linked, commas = sizes[id(x)]
-            density = linked / length if length else 1.0
-            like_text = x.name == "p" and (
-                length > 80 and density < 0.25 or 0 < length <= 80 and not linked and commas
-            )
-            title = x.name in ("h1", "h2") and 0 < length and not linked
-            if title or like_text or x.score * (1 - density) >= least:
-                kept.append(x)
-    return kept
+        if isinstance(x, str):
+            sure.append(False)
+            texts.append(bool(x.strip()))
+            continue
+        length, linked, commas = sizes[id(x)]
+        density = linked / length if length else 1.0
+        like_text = x.name == "p" and (
+            length > 80 and density < 0.25 or 0 < length <= 80 and not linked and commas
+        )
+        title = x.name in ("h1", "h2") and 0 < length and not linked
+        beside = not page and density < 0.25 and (x.name in SPOKEN | {"ul", "ol"} or x.name == best.name == "section")
+        sure.append(x is best or title or like_text or beside or x.score * (1 - density) >= least)
+        texts.append(density < 0.25 and x.name not in ("div", "span", "a"))
+    first, last = sure.index(True), len(sure) - 1 - sure[::-1].index(True)
+    return [
+        x
+        for i, x in enumerate(best.parent.content)
+        if sure[i] or first < i < last and texts[i]
+    ]
 
 
 def _blocks(kept: list[Node | str]) -> list[str]:
