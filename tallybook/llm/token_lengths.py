@@ -7,10 +7,13 @@ truncation to any context limit, without another look at the texts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import partial
 
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,15 +24,30 @@ from tallybook.llm.shared import checkpointed, per_batch, require_columns
 BIN = 1024
 
 
+#: The encoder's own splitting fails on runs of white space of some 300,000 characters.
+LONG_GAP = re.compile(r"\s{100000}")
+
+
+def token_count(encoding: tiktoken.Encoding, text: str, pattern: str) -> int:
+    """How many tokens the encoder makes of a text.
+
+    A text with a very long run of white space is cut into the same pieces by another engine for
+    the pattern, and each piece is encoded by itself.
+    """
+    if LONG_GAP.search(text) is None:
+        return len(encoding.encode_ordinary(text))
+    pieces = (match[0] for match in regex.finditer(pattern, text))
+    return sum(len(encoding._encode_single_piece(piece)) for piece in pieces)
+
+
 def _lengths(
     batch: pa.RecordBatch, vocabulary: str, pattern: str, encoding: list
 ) -> pa.RecordBatch:
     if not encoding:
         encoding.append(load_encoding(vocabulary, pattern))
-    encode = encoding[0].encode_ordinary
     counts: dict[int, int] = {}
     for text in batch.column(0).to_pylist():
-        n = len(encode(text)) if text else 0
+        n = token_count(encoding[0], text, pattern) if text else 0
         counts[n] = counts.get(n, 0) + 1
     return pa.RecordBatch.from_arrays(
         [pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())],
