@@ -11,8 +11,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 import tiktoken
@@ -97,9 +99,14 @@ def random_spans(
     Of a run with more, as behind a path or a host, its parts are tested and reported.
     """
     found = []
+    known = sorted(known)
+    starts = [s for s, _, _ in known]
+    # The end of all spans up to each one.
+    ends = list(accumulate((e for _, _, e in known), max))
 
     def free(start: int, end: int) -> bool:
-        return not any(s < end and start < e for s, _, e in known)
+        before = bisect_left(starts, end)
+        return not before or ends[before - 1] <= start
 
     for match in RUN.finditer(text):
         run = match[0].strip(".=-_/+")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -215,3 +216,104 @@ KEY = "xK9vQ2mZ7rT4wL8pB3nH6sYd"
 def test_random_parts_of_runs(text, value):
     spans = secret_scan.random_spans(text, [], SCAN, ENCODING)
     assert [text[a:b] for a, _, b in spans] == ([] if value is None else [value])
+
+
+SENTENCE = "Some words of this article, which are long enough to count, and more of them follow here."
+P = f"<p>{SENTENCE}</p>"
+
+
+@pytest.mark.parametrize(
+    "html, more",
+    [
+        (f"<article>{P}{P}<section id=discussion><h2>Discussion</h2><p>Short one.</p></section></article>",
+         ["Discussion", "Short one."]),
+        (f"<article>{P}{P}<h2 id=related-work>Related</h2><h2 id=search>Search</h2><h2 id=legal>Legal</h2>"
+         "<p class=share>Share it</p></article>", ["Related", "Search", "Legal", "Share it"]),
+        (f"<div><section>{P * 2}</section><section><p>The end.</p></section></div>", ["The end."]),
+        (f"<div id=x><div>{P * 2}</div><h3>Head</h3><ul><li>one</li></ul><pre>code</pre><p>tiny</p></div>",
+         ["Head", "one", "code", "tiny"]),
+        # An apostrophe opens no value.
+        (f"<article>{P * 2}<p title=it's>It is.</p></article>", ["It is."]),
+        (f"<article>{P * 2}<p title='it is' data-x=\"a>b\" y = 'c>d'>It is.</p></article>", ["It is."]),
+        # What readers, advertisers and links say goes.
+        (f"<article>{P * 2}<div class=related><h3>Related</h3><ul><li><a href=x>One link</a></li></ul></div>"
+         "<div class=comments><p>Nice, thanks a lot</p></div><section class=ads><p>Buy</p></section>"
+         "<p class=comment>Me too</p><section class=related><a href=x>Link</a></section></article>", []),
+    ],
+)
+def test_parts_of_an_article_stay_whatever_their_names(html, more):
+    assert html_text.main_text(html).split("\n\n") == [SENTENCE] * 2 + more
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_every_block_of_a_generated_article_and_no_other(seed):
+    """Pages of known blocks: what is said in the article stays, what is around it goes."""
+    rng = random.Random(seed)
+    said, other = [], []
+
+    def words(n, to):
+        to.append(" ".join(f"w{seed}x{len(said)}x{len(other)}x{i}" for i in range(n)) + (", and so on." if n > 5 else ""))
+        return to[-1]
+
+    def block():
+        kind = rng.choice(["p", "p", "p", "h2", "ul", "pre", "blockquote", "section"])
+        name = rng.choice(["", " id=legal", " class='search'", " id=discussion", " class=related"])
+        if kind == "ul":
+            return f"<ul>{''.join(f'<li>{words(4, said)}</li>' for _ in range(3))}</ul>"
+        if kind == "section":
+            return f"<section{name}><h3{name}>{words(2, said)}</h3><p>{words(rng.choice([3, 40]), said)}</p></section>"
+        return f"<{kind}{name}>{words(rng.choice([3, 12, 60]), said)}</{kind}>"
+
+    def noise():
+        link = f"<a href=x>{words(3, other)}</a>"
+        return rng.choice([
+            f"<nav>{link}</nav>", f"<div class=comments><p>{words(9, other)}</p></div>",
+            f"<aside><p>{words(20, other)}</p></aside>", f"<div class='share'>{link}</div>",
+            f"<form><label>{words(2, other)}</label></form>", f"<script>{words(5, other)}</script>",
+            f"<div class=advert><p>{words(8, other)}</p></div>", f"<ul class=related><li>{link}</li></ul>",
+        ])
+
+    body = f"<p>{words(80, said)}</p><p>{words(60, said)}</p>"
+    for _ in range(rng.randrange(3, 12)):
+        body += block()
+        if rng.random() < 0.3:
+            body += noise()
+    body += f"<p>{words(50, said)}</p>"
+    name = rng.choice(["article", "main", "article class='post'"])
+    html = (
+        f"<html><body><header><h1>{words(2, other)}</h1></header>{noise()}<{name}>{body}</{name.split()[0]}>"
+        f"{noise()}<footer>{words(4, other)}</footer></body></html>"
+    )
+    assert html_text.main_text(html).split("\n\n") == said
+
+
+def test_long_white_space_is_counted_as_the_encoder_would():
+    encoding = ENCODING
+    rng = random.Random(1)
+    gaps = [" ", "\t", "\n", "\r", "\x1c", "\x85", "\xa0", "\u3000", "\u200b"]
+    for length in (100_001, 150_000):
+        for gap in gaps:
+            for text in (gap * length, f"a{gap * length}b", f"{gap * length} 1", f"x\n{gap * length}\n's"):
+                assert token_lengths.token_count(encoding, text, PATTERN) == len(encoding.encode_ordinary(text))
+    mixed = "".join(rng.choice(gaps[:4]) for _ in range(2_000_000))
+    assert token_lengths.token_count(encoding, f"a{mixed}b", PATTERN) > 1000
+
+
+def test_white_space_of_two_million_characters_fails_no_query(spark):
+    df = spark.createDataFrame([(" " * 2_000_000,), ("\n" * 2_000_000,), ("one",)], "text string")
+    got = token_lengths.length_histogram(df, VOCABULARY, PATTERN).collect()
+    assert sum(r["n_docs"] for r in got) == 3
+
+
+def test_spans_beside_many_known_ones():
+    """Against a look at every known span, and in time that does not grow with their square."""
+    rng = random.Random(2)
+    known = sorted((s, 0, s + rng.randrange(1, 40)) for s in rng.sample(range(60_000), 3000))
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFG", k=24)) for _ in range(2000))
+    scan = secret_scan.SecretScan(VOCABULARY, PATTERN)
+    encoding = ENCODING
+    free = secret_scan.random_spans(text, [], scan, encoding)
+    got = secret_scan.random_spans(text, known, scan, encoding)
+    whole = [x for x in free if not any(s < x[2] and x[0] < e for s, _, e in known)]
+    assert set(whole) <= set(got) and len(whole) > 100
+    assert not any(s < b and a < e for a, _, b in got for s, _, e in known)
