@@ -15,6 +15,7 @@ however many landmarks there are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -156,7 +157,7 @@ def _norms(size: np.ndarray, kernel: Kernel) -> np.ndarray:
 
 class Sample:
     """Texts to learn from. Their tokens are made anew, some texts at a time, for every look,
-    so that the driver holds little more than the texts."""
+    so that training holds little more than the texts."""
 
     def __init__(self, texts: list[str], at_once: int = 64, characters: int = 200_000) -> None:
         self.texts = len(texts)
@@ -338,8 +339,8 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, kernel: Kernel) -> list:
-    """Rows (text, toxic) to train on; how many is bounded.
+def labelled_sample(docs: DataFrame, labels: DataFrame, kernel: Kernel) -> DataFrame:
+    """(_hash, _toxic, text) to train on; the number of rows is bounded.
 
     Only ids whose crc32, as text, is no multiple of 5 are drawn. A text counts once for each
     label, and which ones are drawn depends on the hash of the text alone.
@@ -360,21 +361,42 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, kernel: Kernel) -> list:
     rows = docs.select("doc_id", "text").join(
         chosen, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     )
-    return rows.groupBy("_hash", "_toxic").agg(F.min("text").alias("text")).orderBy(
-        "_hash", "_toxic"
-    ).collect()
+    return rows.groupBy("_hash", "_toxic").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel()) -> Model | None:
     """The machine for the labels (doc_id, toxic) of some documents; None without both labels."""
     require_columns(docs, "doc_id", "text")
     require_columns(labels, "doc_id", "toxic")
-    rows = labelled_sample(docs, labels, kernel)
-    toxic = np.array([row["_toxic"] for row in rows], dtype=bool)
-    # Three of each, so that both the words and the level have some to learn from.
-    if min(toxic.sum(), (~toxic).sum()) < 3:
+    # The sample is bounded, so one task holds it; the driver gets the weights, about 1 MB.
+    rows = labelled_sample(docs, labels, kernel).repartition(1).sortWithinPartitions("_hash", "_toxic")
+    found = rows.mapInArrow(
+        lambda batches: _trained(batches, kernel), "weights binary, bias double, level array<double>"
+    ).collect()
+    if not found:
         return None
-    return train([row["text"] for row in rows], toxic, kernel)
+    weights = np.frombuffer(found[0]["weights"], dtype=np.float32)
+    return Model(weights, found[0]["bias"], np.array(found[0]["level"]), kernel)
+
+
+def _trained(batches: Iterator[pa.RecordBatch], kernel: Kernel) -> Iterator[pa.RecordBatch]:
+    """One row, the machine; none without some texts of both labels."""
+    texts, toxic = [], []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        toxic += batch.column("_toxic").to_pylist()
+    # Three of each, so that both the words and the level have some to learn from.
+    if min(sum(toxic), len(toxic) - sum(toxic)) < 3:
+        return
+    model = train(texts, np.array(toxic, dtype=bool), kernel)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([model.weights.tobytes()], pa.binary()),
+            pa.array([model.bias], pa.float64()),
+            pa.array([model.level.tolist()], pa.list_(pa.float64())),
+        ],
+        names=["weights", "bias", "level"],
+    )
 
 
 def _score_batch(batch: pa.RecordBatch, model: Model | None, name: str) -> pa.RecordBatch:

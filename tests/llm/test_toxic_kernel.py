@@ -88,7 +88,7 @@ def test_fit_and_score_tables(spark, odd, no_rows):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, x) for i, _, x in rows] + [(None, 1), (9999, 0), (5, None)],
                                    "doc_id bigint, toxic int")
-    sample = tk.labelled_sample(docs, labels, SMALL)
+    sample = tk.labelled_sample(docs, labels, SMALL).collect()
     text_of = {t: i for i, t, _ in rows}
     assert len(sample) <= 360
     assert all(zlib.crc32(str(text_of[r["text"]]).encode()) % 5 for r in sample)
