@@ -43,8 +43,9 @@ def posted_lines(
             f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
             f" AND year(entry_date) IN ({listed(years)})"
         )
-    entry = ledger.entry.where(live).selectExpr("journal_entry_id", "year(entry_date) AS year")
-    postings = ledger.postings(ledger.lines_of(company_id).join(entry, "journal_entry_id"))
+    keys = list(ledger.entry_keys)
+    entry = ledger.entry.where(live).selectExpr(*keys, "year(entry_date) AS year")
+    postings = ledger.postings(ledger.lines_of(company_id).join(entry, keys))
     amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
     return postings.selectExpr("account_id", "year", *casts(amounts))
 

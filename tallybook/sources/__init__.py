@@ -1,5 +1,6 @@
 """Ledger inputs and the section-balance table."""
 
+from tallybook.sources.buckets import ledger_from_buckets, save_bucketed_journal
 from tallybook.sources.ledger import (
     Ledger,
     ledger_from_files,
@@ -26,6 +27,7 @@ __all__ = [
     "Ledger",
     "VersionConflict",
     "forget_versions",
+    "ledger_from_buckets",
     "ledger_from_files",
     "ledger_from_orders",
     "ledger_from_reader",
@@ -35,6 +37,7 @@ __all__ = [
     "read_section_balance",
     "read_version",
     "restate_section_balance",
+    "save_bucketed_journal",
     "save_section_balance",
     "version_numbers",
     "write_section_balance",

@@ -32,6 +32,7 @@ class Ledger:
     line: DataFrame
     expand: Callable[[DataFrame], DataFrame] | None = None
     line_company: str | None = None
+    entry_keys: tuple[str, ...] = ("journal_entry_id",)
 
     def lines_of(self, company_id: int | None) -> DataFrame:
         """The rows of ``line`` that a company may have; all if they do not tell."""
@@ -108,6 +109,8 @@ def merge_ledgers(ledgers: Mapping[int, Ledger]) -> Ledger:
     for number, ledger in ledgers.items():
         if not 0 <= number < 1 << 16:
             raise ValueError(f"a database number is out of range: {number}")
+        if ledger.entry_keys != ("journal_entry_id",):
+            raise ValueError("merge ledgers before their entries are cut into parts")
         if ledger.expand is not None:
             raise ValueError("expand the lines of a ledger before it is merged")
 
