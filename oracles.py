@@ -260,6 +260,7 @@ BODIES = {
     "section_balance": "SELECT * FROM mart",
     "section_balance_stored": "SELECT * FROM mart",
     "section_balance_maintained": "SELECT * FROM mart",
+    "section_balance_bucketed": "SELECT * FROM mart",
     "section_balance_published": f"""
 SELECT CAST(1 AS INTEGER) AS version, * FROM mart
 WHERE year BETWEEN {FIRST_LOAD[0]} AND {FIRST_LOAD[-1]}
