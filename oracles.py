@@ -187,6 +187,33 @@ bs_spine AS (
 )
 """
 
+# What entries add to assets less liabilities and equity.
+ENTRY_DIFFERENCES = """
+WITH part AS (
+  SELECT journal_entry_id, company_id, CAST(year(entry_date) AS INTEGER) AS year,
+         COALESCE(debit, 0) - COALESCE(credit, 0) AS amount
+  FROM journal_entry_line_item JOIN journal_entry USING (journal_entry_id)
+  JOIN account USING (account_id)
+  JOIN statement_section ON statement_section_id = balance_sheet_section_id
+  WHERE cancelled = 0 AND is_balance_sheet_section = 1 AND statement_section_order BETWEEN 1 AND 7
+  UNION ALL
+  SELECT journal_entry_id, company_id, CAST(year(entry_date) AS INTEGER),
+         sign * COALESCE(debit, 0)
+  FROM journal_entry_line_item JOIN journal_entry USING (journal_entry_id)
+  JOIN account USING (account_id)
+  JOIN statement_section ON statement_section_id = profit_loss_section_id
+  JOIN pl_sign USING (statement_section_order)
+  WHERE cancelled = 0 AND is_balance_sheet_section = 1 AND profit_loss_section_id <> 0
+    AND statement_section_order BETWEEN 1 AND 7
+)
+SELECT company_id, year, journal_entry_id, CAST(SUM(amount) AS DECIMAL(28, 2)) AS difference
+FROM part WHERE company_id IS NOT NULL AND year IS NOT NULL
+GROUP BY ALL HAVING SUM(amount) <> 0
+"""
+
+# Entries listed for a company-year.
+WORST = 3
+
 _KNOWN = "company_id IS NOT NULL AND year IS NOT NULL"
 
 
@@ -293,6 +320,17 @@ SELECT company_id, year, total_assets, total_liabilities_and_equity,
          AS balance_check_prefix
 FROM (SELECT *, {_prefix("total_assets")} AS a,
              {_prefix("total_liabilities_and_equity")} AS le FROM sides)""",
+    "entry_differences": f"SELECT * FROM ({ENTRY_DIFFERENCES})",
+    "largest_differences": f"""
+SELECT company_id, year, CAST(place AS INTEGER) AS place, journal_entry_id, difference,
+       total_difference, n_entries
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY company_id, year
+                                   ORDER BY abs(difference) DESC, journal_entry_id) AS place,
+             CAST(SUM(difference) OVER (PARTITION BY company_id, year) AS DECIMAL(28, 2))
+               AS total_difference,
+             COUNT(*) OVER (PARTITION BY company_id, year) AS n_entries
+      FROM ({ENTRY_DIFFERENCES}))
+WHERE place <= {WORST}""",
     "statement_spine_pl": "SELECT * FROM pl_spine",
     "statement_spine_bs": "SELECT * FROM bs_spine",
     "pl_year_over_year": _year_over_year("pl", _ONE_COMPANY),

@@ -1,5 +1,6 @@
 """From journal lines to section balances, and the sums over section balances."""
 
+from tallybook.operators.audit import entry_differences, largest_differences
 from tallybook.operators.balances import (
     account_totals,
     bs_section_balance,
@@ -30,8 +31,10 @@ __all__ = [
     "bs_totals",
     "build_section_balance",
     "change_totals",
+    "entry_differences",
     "gross_margin_ratio",
     "kept_totals",
+    "largest_differences",
     "maintained_balances",
     "merge_totals",
     "pl_section_balance",

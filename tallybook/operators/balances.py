@@ -19,7 +19,21 @@ from tallybook.sources.ledger import Ledger
 
 _KEYS = [name for name in SECTION_BALANCE if name != "balance"]
 _NET = "coalesce(debit, 0) - coalesce(credit, 0)"
-_PL_LINK = "nullif(profit_loss_section_id, 0)"
+PL_LINK = "nullif(profit_loss_section_id, 0)"
+
+
+def live_entries(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
+    """Keys and year of the entries that are not cancelled."""
+    live = "cancelled = 0"
+    if years is not None:
+        if not years:
+            raise ValueError("years is empty; None means all years")
+        # The date range reaches the file scan, which year(entry_date) would not.
+        live += (
+            f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
+            f" AND year(entry_date) IN ({listed(years)})"
+        )
+    return ledger.entry.where(live).selectExpr(*ledger.entry_keys, "year(entry_date) AS year")
 
 
 def posted_lines(
@@ -34,17 +48,8 @@ def posted_lines(
     broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
     execution splits an entry that holds a large share of the lines.
     """
-    live = "cancelled = 0"
-    if years is not None:
-        if not years:
-            raise ValueError("years is empty; None means all years")
-        # The date range reaches the file scan, which year(entry_date) would not.
-        live += (
-            f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
-            f" AND year(entry_date) IN ({listed(years)})"
-        )
     keys = list(ledger.entry_keys)
-    entry = ledger.entry.where(live).selectExpr(*keys, "year(entry_date) AS year")
+    entry = live_entries(ledger, years)
     postings = ledger.postings(ledger.lines_of(company_id).join(entry, keys))
     amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
     return postings.selectExpr("account_id", "year", *casts(amounts))
@@ -69,11 +74,11 @@ def account_totals(posted: DataFrame) -> DataFrame:
     return posted.groupBy("account_id", "year").agg(*sums)
 
 
-def _signed_debit(chart: Chart) -> str:
+def signed_debit(chart: Chart, debit: str = "coalesce(debit, 0)") -> str:
     """Income is positive and expense negative; an order that is neither has no balance."""
     return (
-        f"CASE WHEN {order_in(chart.income)} THEN coalesce(debit, 0) "
-        f"WHEN {order_in(chart.expense)} THEN -coalesce(debit, 0) END"
+        f"CASE WHEN {order_in(chart.income)} THEN {debit} "
+        f"WHEN {order_in(chart.expense)} THEN -{debit} END"
     )
 
 
@@ -89,7 +94,7 @@ def pl_section_balance(
     Only debits count, for income and expense alike. The flag is the section's own: an
     account whose P&L link points to a balance-sheet section is carried with flag 1.
     """
-    links = ledger.account.selectExpr("account_id", f"{_PL_LINK} AS statement_section_id")
+    links = ledger.account.selectExpr("account_id", f"{PL_LINK} AS statement_section_id")
     summed = (
         account_totals(posted_lines(ledger, years))
         .join(links, "account_id")
@@ -97,7 +102,7 @@ def pl_section_balance(
         .groupBy(*_KEYS)
         .agg(F.expr("sum(debit) AS debit"))
     )
-    return _balances(summed, _signed_debit(chart))
+    return _balances(summed, signed_debit(chart))
 
 
 def bs_section_balance(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
@@ -140,7 +145,7 @@ def balances_of_totals(
     totals: DataFrame, account: DataFrame, section: DataFrame, chart: Chart = STANDARD
 ) -> DataFrame:
     """Section balances from the debit and credit of every account and year."""
-    pl = row(is_pl="true", statement_section_id=_PL_LINK)
+    pl = row(is_pl="true", statement_section_id=PL_LINK)
     bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
     links = account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
     summed = (
@@ -155,7 +160,7 @@ def balances_of_totals(
             F.expr("bool_and(is_pl) AS only_pl"),
         )
     )
-    pl_balance, bs_balance = (f"CAST({b} AS {MONEY})" for b in (_signed_debit(chart), "net"))
+    pl_balance, bs_balance = (f"CAST({b} AS {MONEY})" for b in (signed_debit(chart), "net"))
     return summed.selectExpr(
         *_KEYS,
         f"explode(CASE WHEN only_pl THEN array({pl_balance}) "

@@ -1,0 +1,123 @@
+"""Which entries break assets = liabilities + equity."""
+
+import random
+from collections import defaultdict
+from dataclasses import replace
+from datetime import date
+from decimal import Decimal as D
+
+import duckdb
+import pytest
+
+import oracles
+from tallybook import operators as ops
+from tallybook.sources import ledger_from_buckets, save_bucketed_journal
+from tests.compare import assert_same
+from tests.ledgers import Book, book
+from tests.test_random_ledgers import random_book
+
+SECTIONS = [(1, 1, 7, 1, "CASH"), (2, 1, 7, 4, "LOANS"), (3, 1, 7, 9, "MEMO"), (4, 0, 7, 1, "REVENUE")]
+ACCOUNTS = [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 4, 0)]
+
+
+def rows(df):
+    return [tuple(r) for r in df.orderBy("company_id", "year", "place").collect()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_ledgers(spark, seed):
+    written = random_book(seed)
+    con = duckdb.connect()
+    written.load(con)
+    ledger = written.ledger(spark)
+    for key, df in (
+        ("entry_differences", ops.entry_differences(ledger)),
+        ("largest_differences", ops.largest_differences(ledger, oracles.WORST)),
+    ):
+        assert assert_same(df, con, oracles.on_ledger_tables(key)) > 10
+
+
+@pytest.mark.parametrize("k", [1, 2, 7, 300])
+def test_the_first_k_of_many_with_ties(spark, k):
+    rng = random.Random(k)
+    amounts = [D(rng.choice([-300, -2, -1, 1, 2, 3, 250, 300])) for _ in range(900)]
+    postings = [(date(2015 + i % 2, 5, 1), 1, max(a, D(0)), max(-a, D(0))) for i, a in enumerate(amounts)]
+    got = rows(ops.largest_differences(book(SECTIONS, ACCOUNTS, postings).ledger(spark), k))
+    by_year = defaultdict(list)
+    for i, a in enumerate(amounts):
+        by_year[2015 + i % 2].append((-abs(a), i, a))
+    expected = [
+        (7, year, place, i, a, sum(x[2] for x in found), len(found))
+        for year, found in sorted(by_year.items())
+        for place, (_, i, a) in enumerate(sorted(found)[:k], start=1)
+    ]
+    assert got == expected
+
+
+def test_differences_add_up_to_the_check(spark):
+    ledger = random_book(3).ledger(spark)
+    one_link = ledger.account.selectExpr(
+        "account_id", "CAST(NULL AS BIGINT) AS profit_loss_section_id", "balance_sheet_section_id"
+    )
+    ledger = replace(ledger, account=one_link)
+    checked = {
+        (r.company_id, r.year): r.total_assets - r.total_liabilities_and_equity
+        for r in ops.balance_check(ops.build_section_balance(ledger)).collect()
+    }
+    found = {
+        (r.company_id, r.year): r.total_difference
+        for r in ops.largest_differences(ledger, 1).collect()
+    }
+    assert checked and {k: found.get(k, D(0)) for k in checked} == checked
+
+
+def test_what_counts(spark):
+    day = date(2016, 3, 1)
+    written = Book(
+        ACCOUNTS,
+        SECTIONS,
+        [(1, day, 0), (2, day, 0), (3, day, 1), (4, None, 0), (5, day, 0), (6, date(2017, 1, 1), 0)],
+        [
+            (1, 1, D("5.00"), None), (1, 2, None, D("5.00")),  # balances
+            (2, 1, D("9.00"), None), (2, 2, None, D("4.50")), (2, 4, None, D("4.50")),
+            (3, 1, D("99.00"), None),  # cancelled
+            (4, 1, D("99.00"), None),  # without a date
+            (5, 3, D("99.00"), None), (5, None, D("99.00"), None), (5, 77, D("99.00"), None),
+            (6, 2, None, D("1.00")), (None, 1, D("99.00"), None), (88, 1, D("99.00"), None),
+        ],
+    ).ledger(spark)
+    both = [(7, 2016, 1, 2, D("4.50"), D("4.50"), 1), (7, 2017, 1, 6, D("-1.00"), D("-1.00"), 1)]
+    assert rows(ops.largest_differences(written, 5)) == both
+    assert rows(ops.largest_differences(written, 5, years=[2017], company_id=7)) == both[1:]
+    assert rows(ops.largest_differences(written, 5, company_id=8)) == []
+    assert rows(ops.largest_differences(Book().ledger(spark), 5)) == []
+    with pytest.raises(ValueError):
+        ops.largest_differences(written, 0)
+    with pytest.raises(ValueError):
+        ops.largest_differences(written, 1, years=[])
+
+
+def test_a_hot_entry_is_summed_before_the_shuffle(spark):
+    """A third of all lines on entry 7: what is dealt has a row per task and entry, not per line."""
+    lines = [(7, 1, D("1.00"), None)] * 6000 + [(100 + i, 1, D(1), None) for i in range(12_000)]
+    entries = [(7, date(2016, 1, 1), 0)] + [(100 + i, date(2016, 1, 1), 0) for i in range(12_000)]
+    written = Book([(1, 0, 1)], [(1, 1, 1, 1, "CASH")], entries, lines).ledger(spark)
+    df = ops.largest_differences(written, 2)
+    assert rows(df)[0] == (1, 2016, 1, 7, D("6000.00"), D("18000.00"), 12_001)
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max(size" in physical and "partial_sum" in physical
+    assert "SortAggregate" not in physical
+    # The join is dealt by bucket as well, and at most two entries of a task go on from it.
+    window, joined = physical.index("Window ["), physical.index("Join [")
+    assert "Partial" in physical[window:joined] and "bucket" in physical[joined : joined + 80]
+
+
+def test_a_journal_in_buckets(spark, tmp_path):
+    ledger = random_book(5).ledger(spark)
+    spark.sql(f"CREATE DATABASE audited LOCATION '{tmp_path}/audited'")
+    try:
+        save_bucketed_journal(ledger, "audited.entry", "audited.line", 4)
+        stored = ledger_from_buckets(spark, ledger, "audited.entry", "audited.line")
+        assert rows(ops.largest_differences(stored, 4)) == rows(ops.largest_differences(ledger, 4)) != []
+    finally:
+        spark.sql("DROP DATABASE audited CASCADE")
