@@ -288,6 +288,7 @@ BODIES = {
     "section_balance_stored": "SELECT * FROM mart",
     "section_balance_maintained": "SELECT * FROM mart",
     "section_balance_bucketed": "SELECT * FROM mart",
+    "section_balance_clustered": "SELECT * FROM mart",
     "section_balance_published": f"""
 SELECT CAST(1 AS INTEGER) AS version, * FROM mart
 WHERE year BETWEEN {FIRST_LOAD[0]} AND {FIRST_LOAD[-1]}
@@ -300,6 +301,7 @@ SELECT 2, * FROM mart WHERE year BETWEEN {FIRST_LOAD[0]} AND {RESTATED[-2]} OR y
 SELECT company_id, year, CAST(ROUND(ratio, 6) AS DECIMAL(38, 6)) AS gross_margin_ratio
 FROM ratio""",
     "pl_statement": _statement("pl_lines", _ONE_PL),
+    "pl_statement_clustered": _statement("pl_lines", _ONE_PL),
     "pl_statement_all": _statement("pl_lines", _KNOWN),
     "pl_statement_formatted": _statement("pl_lines", _ONE_PL, text=True),
     "balance_sheet": _statement(_BS_AMOUNTS, _ONE_BS)

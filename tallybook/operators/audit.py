@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallybook.chart import STANDARD, Chart, order_in
 from tallybook.functions import row
-from tallybook.operators.balances import PL_LINK, live_entries, require_ansi, signed_debit
+from tallybook.operators.balances import PL_LINK, live_entries, live_lines, require_ansi, signed_debit
 from tallybook.schema import AMOUNT, MONEY, casts, with_amounts
 from tallybook.sources.ledger import Ledger
 
@@ -64,17 +64,22 @@ def entry_differences(
     with equal balances: the mart holds these once, here both count.
     """
     require_ansi(ledger.line.sparkSession)
-    keys = list(ledger.entry_keys)
-    postings = ledger.postings(ledger.lines_of(company_id))
+    if ledger.headers_on_lines:
+        keys, lines = ["journal_entry_id", "year"], live_lines(ledger, years, company_id)
+    else:
+        keys, lines = list(ledger.entry_keys), ledger.lines_of(company_id)
+    postings = ledger.postings(lines)
     types = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
     weighed = postings.selectExpr(*keys, "account_id", *casts(types)).join(
         _weights(ledger, company_id, chart), "account_id"
     )
     added = F.expr("sum(of_debit * coalesce(debit, 0) + of_credit * coalesce(credit, 0)) AS added")
     by_entry = weighed.groupBy(*keys, "company_id").agg(added).where("added <> 0")
+    if not ledger.headers_on_lines:
+        by_entry = by_entry.join(live_entries(ledger, years), keys)
     # An entry may have several parts, and its header several rows: they are one entry.
     return (
-        by_entry.join(live_entries(ledger, years).where("year IS NOT NULL"), keys)
+        by_entry.where("year IS NOT NULL")
         .groupBy("company_id", "year", "journal_entry_id")
         .agg(F.expr(f"CAST(sum(added) AS {MONEY}) AS difference"))
         .where("difference <> 0")

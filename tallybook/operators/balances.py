@@ -22,8 +22,8 @@ _NET = "coalesce(debit, 0) - coalesce(credit, 0)"
 PL_LINK = "nullif(profit_loss_section_id, 0)"
 
 
-def live_entries(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
-    """Keys and year of the entries that are not cancelled."""
+def _live(years: Sequence[int] | None) -> str:
+    """The condition on a header that its entry counts."""
     live = "cancelled = 0"
     if years is not None:
         if not years:
@@ -33,7 +33,20 @@ def live_entries(ledger: Ledger, years: Sequence[int] | None = None) -> DataFram
             f" AND entry_date BETWEEN DATE'{min(years):04d}-01-01' AND DATE'{max(years):04d}-12-31'"
             f" AND year(entry_date) IN ({listed(years)})"
         )
-    return ledger.entry.where(live).selectExpr(*ledger.entry_keys, "year(entry_date) AS year")
+    return live
+
+
+def live_entries(ledger: Ledger, years: Sequence[int] | None = None) -> DataFrame:
+    """Keys and year of the entries that are not cancelled."""
+    return ledger.entry.where(_live(years)).selectExpr(
+        *ledger.entry_keys, "year(entry_date) AS year"
+    )
+
+
+def live_lines(ledger: Ledger, years: Sequence[int] | None, company_id: int | None) -> DataFrame:
+    """Lines that have their header with them, with their year, of entries that count."""
+    lines = ledger.lines_of(company_id).where(_live(years))
+    return lines.withColumn("year", F.expr("year(entry_date)")).drop("entry_date", "cancelled")
 
 
 def posted_lines(
@@ -48,9 +61,12 @@ def posted_lines(
     broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
     execution splits an entry that holds a large share of the lines.
     """
-    keys = list(ledger.entry_keys)
-    entry = live_entries(ledger, years)
-    postings = ledger.postings(ledger.lines_of(company_id).join(entry, keys))
+    if ledger.headers_on_lines:
+        lines = live_lines(ledger, years, company_id)
+    else:
+        entry = live_entries(ledger, years)
+        lines = ledger.lines_of(company_id).join(entry, list(ledger.entry_keys))
+    postings = ledger.postings(lines)
     amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
     return postings.selectExpr("account_id", "year", *casts(amounts))
 

@@ -1,6 +1,7 @@
 """Ledger inputs and the section-balance table."""
 
 from tallybook.sources.buckets import ledger_from_buckets, save_bucketed_journal
+from tallybook.sources.clustered import ledger_from_clustered, save_clustered_journal
 from tallybook.sources.ledger import (
     Ledger,
     ledger_from_files,
@@ -28,6 +29,7 @@ __all__ = [
     "VersionConflict",
     "forget_versions",
     "ledger_from_buckets",
+    "ledger_from_clustered",
     "ledger_from_files",
     "ledger_from_orders",
     "ledger_from_reader",
@@ -38,6 +40,7 @@ __all__ = [
     "read_version",
     "restate_section_balance",
     "save_bucketed_journal",
+    "save_clustered_journal",
     "save_section_balance",
     "version_numbers",
     "write_section_balance",

@@ -30,6 +30,8 @@ def save_bucketed_journal(
     """
     if buckets < 1:
         raise ValueError(f"buckets is {buckets}")
+    if ledger.headers_on_lines:
+        raise ValueError("the headers are on the lines: there is nothing to join")
     lines = ledger.line.where("journal_entry_id IS NOT NULL")
     counted = lines.groupBy("journal_entry_id").agg(F.count(F.lit(1)).alias("n"))
     total = lines.count()

@@ -22,8 +22,11 @@ class Ledger:
     join moves the compact rows.
 
     ``line_company`` is SQL text for the company of a row of ``line``, where the row alone
-    tells it, for instance by the column that the journal is partitioned by. Reports for one
-    company then leave the other rows out before the large join.
+    tells it, for instance by the column that the journal is partitioned by; NULL where it does
+    not. Reports for one company then leave the other rows out before the large join.
+
+    With ``headers_on_lines``, the rows of ``line`` have entry_date and cancelled themselves, as
+    ``save_clustered_journal`` writes them. The reports then need no join and do not read ``entry``.
     """
 
     account: DataFrame
@@ -33,13 +36,15 @@ class Ledger:
     expand: Callable[[DataFrame], DataFrame] | None = None
     line_company: str | None = None
     entry_keys: tuple[str, ...] = ("journal_entry_id",)
+    headers_on_lines: bool = False
 
     def lines_of(self, company_id: int | None) -> DataFrame:
         """The rows of ``line`` that a company may have; all if they do not tell."""
         if company_id is None:
             return self.line
         if self.line_company is not None:
-            return self.line.where(f"({self.line_company}) = {int(company_id)}")
+            of_row = f"({self.line_company})"
+            return self.line.where(f"{of_row} = {int(company_id)} OR {of_row} IS NULL")
         if self.expand is not None:
             return self.line
         # Few accounts are a company's, so this is a broadcast unless Spark finds them too many.
@@ -109,6 +114,8 @@ def merge_ledgers(ledgers: Mapping[int, Ledger]) -> Ledger:
     for number, ledger in ledgers.items():
         if not 0 <= number < 1 << 16:
             raise ValueError(f"a database number is out of range: {number}")
+        if ledger.headers_on_lines:
+            raise ValueError("merge ledgers before their headers are put on their lines")
         if ledger.entry_keys != ("journal_entry_id",):
             raise ValueError("merge ledgers before their entries are cut into parts")
         if ledger.expand is not None:

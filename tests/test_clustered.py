@@ -1,0 +1,140 @@
+"""A journal along a curve over companies and dates, and how much of it a report reads."""
+
+from datetime import date, timedelta
+from decimal import Decimal as D
+from pathlib import Path
+
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+
+import oracles
+from tallybook import operators as ops
+from tallybook.sources import (
+    ledger_from_clustered,
+    ledger_from_orders,
+    merge_ledgers,
+    save_bucketed_journal,
+    save_clustered_journal,
+)
+from tests.compare import assert_same
+from tests.ledgers import Book
+from tests.test_random_ledgers import random_book
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def clustered(spark, ledger, path, files=16, **options):
+    save_clustered_journal(ledger, str(path), files, **options)
+    return ledger_from_clustered(spark, ledger, str(path))
+
+
+def scanned(spark, df):
+    """Rows that the scans of files hand on, after files and row groups were left out."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = df.select("*")
+        execution = fresh._jdf.queryExecution()
+        execution.toRdd().count()
+        leaves = execution.executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return sum(s.metrics().apply("numOutputRows").value() for s in scans if "FileScan" in s.toString())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def wide_book() -> Book:
+    """32 companies and 2,000 days, a line for each company and every fifth day."""
+    days = [date(2012, 1, 1) + timedelta(days=5 * i) for i in range(400)]
+    entries = [(d * 100 + c, day, 0) for d, day in enumerate(days) for c in range(32)]
+    lines = [(e[0], e[0] % 100, D(e[0]) / 100, None) for e in entries]
+    sections = [(1000 + c, 0, c, 1, "REVENUE") for c in range(32)]
+    return Book([(c, 1000 + c, 0) for c in range(32)], sections, entries, lines)
+
+
+def test_one_company_or_year_reads_few_files(spark, tmp_path):
+    ledger = wide_book().ledger(spark)
+    stored = clustered(spark, ledger, tmp_path / "journal", files=64)
+    total = 32 * 400
+    company = ops.posted_lines(stored, company_id=5)
+    year = ops.posted_lines(stored, years=[2014])
+    both = ops.posted_lines(stored, years=[2014], company_id=5)
+    assert company.count() >= 400 and year.count() == 73 * 32
+    # An eighth of the files each, but for those at an edge; the curve is 8 x 8 files.
+    assert scanned(spark, company) <= total / 4
+    assert scanned(spark, year) <= total / 2
+    assert scanned(spark, both) <= total / 16
+    assert scanned(spark, ops.posted_lines(stored)) == total
+    for df in (company, year, both):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    for kwargs in ({}, {"company_id": 5}, {"years": [2014]}, {"years": [2013, 2015], "company_id": 0}):
+        assert rows(ops.build_section_balance(stored, **kwargs)) == rows(ops.build_section_balance(ledger, **kwargs))
+
+
+def test_files_are_even_with_a_third_of_the_lines_on_one_entry(spark, tmp_path):
+    entries = [(i, date(2016, 1, 1) + timedelta(days=i % 900), 0) for i in range(4000)]
+    lines = [(7, 1, D(1), None)] * 6000 + [(i % 4000, i % 50, D(i), None) for i in range(12_000)]
+    book = Book([(i, i, 0) for i in range(50)], [(i, 0, i, 1, "R") for i in range(1, 50)], entries, lines)
+    ledger = book.ledger(spark)
+    stored = clustered(spark, ledger, tmp_path / "journal", files=12)
+    footers = [pq.ParquetFile(f).metadata for f in Path(tmp_path / "journal").glob("*.parquet")]
+    sizes = [m.num_rows for m in footers]
+    assert sum(sizes) == 18_000 and 8 <= len(sizes) <= 12 and max(sizes) <= 3 * 18_000 / 12
+    assert rows(ops.build_section_balance(stored)) == rows(ops.build_section_balance(ledger))
+
+
+def test_bloom_filters_find_where_an_id_is_not(spark, tmp_path):
+    days = [date(2016, 1, 1) + timedelta(days=i % 900) for i in range(4000)]
+    entries = [(2 * (i * 7919 % 4000), day, 0) for i, day in enumerate(days)]
+    lines = [(e[0], i % 50, D(i), None) for i, e in enumerate(entries)]
+    ledger = Book([(i, i, 0) for i in range(50)], [(i, 0, i, 1, "R") for i in range(1, 50)], entries, lines).ledger(spark)
+    # Few different ids would be listed in a dictionary, which serves as well.
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.enable.dictionary", "false")
+    try:
+        stored = clustered(spark, ledger, tmp_path / "journal", files=8)
+        plain = clustered(spark, ledger, tmp_path / "plain", files=8, bloom_filters=())
+    finally:
+        hadoop.unset("parquet.enable.dictionary")
+    # Odd ids are within the bounds of the files, but in none of them.
+    absent = [2001, 4001, 6001]
+    assert sum(scanned(spark, stored.line.where(f"journal_entry_id = {i}")) for i in absent) < 4000
+    assert sum(scanned(spark, plain.line.where(f"journal_entry_id = {i}")) for i in absent) >= 8000
+    assert stored.line.where("journal_entry_id = 2000").count() == 1
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_random_ledgers_give_the_same_balances(spark, tmp_path, seed):
+    ledger = random_book(seed).ledger(spark)
+    stored = clustered(spark, ledger, tmp_path / "journal", files=5)
+    for kwargs in ({}, {"company_id": 1}, {"company_id": 2}, {"years": [1996]}, {"years": [1995, 1999], "company_id": 1}):
+        assert rows(ops.build_section_balance(stored, **kwargs)) == rows(ops.build_section_balance(ledger, **kwargs))
+    assert rows(ops.largest_differences(stored, 3)) == rows(ops.largest_differences(ledger, 3)) != []
+
+
+def test_lines_that_are_expanded(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for table in ("orders", "lineitem", "supplier"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    stored = clustered(spark, ledger_from_orders(spark, sf), tmp_path / "journal")
+    sql = oracles.on_given_tables()
+    assert assert_same(ops.build_section_balance(stored), con, sql["section_balance"])
+    assert assert_same(ops.entry_differences(stored), con, sql["entry_differences"])
+
+
+def test_nothing_to_store_and_what_is_refused(spark, tmp_path):
+    empty = Book().ledger(spark)
+    stored = clustered(spark, empty, tmp_path / "journal")
+    assert rows(ops.build_section_balance(stored)) == []
+    with pytest.raises(ValueError):
+        save_clustered_journal(empty, str(tmp_path / "none"), 0)
+    with pytest.raises(ValueError):
+        save_clustered_journal(stored, str(tmp_path / "twice"), 2)
+    with pytest.raises(ValueError):
+        merge_ledgers({0: stored})
+    with pytest.raises(ValueError):
+        save_bucketed_journal(stored, "books.e", "books.l", 2)
