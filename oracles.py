@@ -272,6 +272,17 @@ WHERE {where}
 """
 
 
+def _compared(statement: str) -> str:
+    """The year-over-year report with a row for each year."""
+    whole = _year_over_year(statement, "TRUE")
+    parts = []
+    for before, y in zip([None, *YEARS], YEARS):
+        change = "NULL" if before is None else f"r{before % 100:02d}to{y % 100:02d}"
+        parts.append(f"""SELECT '{statement}_year_over_year', company_id, {y}, line_order, line_label,
+  b{y}, {change} FROM ({whole})""")
+    return " UNION ALL ".join(parts)
+
+
 _ONE_PL = f"company_id = {COMPANY} AND year = {PL_YEAR}"
 _ONE_BS = f"company_id = {COMPANY} AND year = {BS_YEAR}"
 _ONE_BS_PERIOD = (
@@ -344,6 +355,26 @@ WHERE place <= {WORST}""",
 }
 
 
+_IN_YEARS = f"{_KNOWN} AND year IN {YEARS}"
+BODIES["all_reports"] = f"""
+SELECT 'pl_statement' AS report, company_id, year, line_order, line_label, balance,
+       CAST(NULL AS DECIMAL(38, 6)) AS change
+FROM pl_lines WHERE {_IN_YEARS}
+UNION ALL
+SELECT 'balance_sheet', company_id, year, line_order, line_label, balance, NULL
+FROM {_BS_AMOUNTS} WHERE {_IN_YEARS}
+UNION ALL
+SELECT 'balance_sheet', company_id, year, line_order, line_label, NULL, NULL
+FROM (SELECT DISTINCT company_id, year FROM bs WHERE {_IN_YEARS}), bs_caption
+UNION ALL
+SELECT 'balance_check', company_id, year, NULL, balance_check,
+       CAST(total_assets - total_liabilities_and_equity AS DECIMAL(28, 2)), NULL
+FROM ({BODIES["balance_check"]}) WHERE {_IN_YEARS}
+UNION ALL {_compared("pl")}
+UNION ALL {_compared("bs")}
+"""
+
+
 def on_given_tables() -> dict[str, str]:
     """Oracle SQL over ``orders``, ``lineitem`` and ``supplier``."""
     return {key: f"WITH {LEDGER}{LINES}{MART}{body}" for key, body in BODIES.items()}

@@ -1,5 +1,6 @@
 """The printed reports."""
 
+from tallybook.plans.all_reports import REPORTS, all_reports
 from tallybook.plans.statements import (
     balance_sheet,
     balance_sheet_formatted,
@@ -14,6 +15,8 @@ from tallybook.plans.year_over_year import (
 )
 
 __all__ = [
+    "REPORTS",
+    "all_reports",
     "balance_sheet",
     "balance_sheet_formatted",
     "bs_year_over_year",

@@ -53,6 +53,7 @@ def reports(ledger, mart):
     yield "balance_sheet", plans.balance_sheet(mart, COMPANY, BS_YEAR)
     yield "balance_sheet_all", plans.balance_sheet(mart)
     yield "balance_sheet_formatted", plans.balance_sheet_formatted(mart, COMPANY, BS_YEAR)
+    yield "all_reports", plans.all_reports(mart, section, YEARS)
     for kind in ("pl", "bs"):
         report = getattr(plans, f"{kind}_year_over_year")
         text = getattr(plans, f"{kind}_year_over_year_formatted")
