@@ -106,7 +106,9 @@ def largest_differences(
     entries = entry_differences(ledger, years, company_id, chart).withColumns(
         {
             "size": F.expr("abs(difference)"),
-            "bucket": F.expr(f"CAST(pmod(xxhash64(journal_entry_id), {buckets}) AS INT)"),
+            # Never NULL, so that the join below sends no filter down to one of its sides only:
+            # both stay alike, and the lines are read once.
+            "bucket": F.expr(f"coalesce(CAST(pmod(xxhash64(journal_entry_id), {buckets}) AS INT), 0)"),
         }
     )
     bars = (
