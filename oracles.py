@@ -19,8 +19,22 @@ YEARS = (1995, 1996, 1997, 1998, 1999, 2001)
 FIRST_LOAD = (1992, 1993, 1994, 1995, 1996)
 RESTATED = (1996, 1997, 1998, 1999, 2000, 2001, None)
 
+
+def _postings(line: str) -> str:
+    return f"""  SELECT journal_entry_id, c * 100 + 1 + p % 13 AS account_id,
+         CASE WHEN c = 1 AND p % 13 = 10 THEN NULL ELSE amount END AS debit,
+         CAST(NULL AS DECIMAL(18, 2)) AS credit
+  FROM {line} WHERE NOT (c = 2 AND p % 13 = 11)
+  UNION ALL
+  SELECT journal_entry_id, c * 100 + 51 + p % 3, amount, NULL FROM {line}
+  UNION ALL
+  SELECT journal_entry_id, c * 100 + 54 + s % 4, NULL, amount
+  FROM {line} WHERE NOT (c = 5 AND n = 1)
+"""
+
+
 # Section captions by statement order come first.
-LEDGER = """
+LEDGER = f"""
 caption(flag, ord, label) AS (
   VALUES (0, 1, 'REVENUE'), (0, 2, 'RETURNS'), (0, 3, 'REFUNDS'), (0, 4, 'OTHER REVENUE'),
          (0, 5, 'SUBSIDIES'), (0, 6, 'DISCOUNTS'), (0, 7, 'COST OF GOODS'),
@@ -55,16 +69,7 @@ order_line AS (
   FROM lineitem
 ),
 journal_entry_line_item AS (
-  SELECT journal_entry_id, c * 100 + 1 + p % 13 AS account_id,
-         CASE WHEN c = 1 AND p % 13 = 10 THEN NULL ELSE amount END AS debit,
-         CAST(NULL AS DECIMAL(18, 2)) AS credit
-  FROM order_line WHERE NOT (c = 2 AND p % 13 = 11)
-  UNION ALL
-  SELECT journal_entry_id, c * 100 + 51 + p % 3, amount, NULL FROM order_line
-  UNION ALL
-  SELECT journal_entry_id, c * 100 + 54 + s % 4, NULL, amount
-  FROM order_line WHERE NOT (c = 5 AND n = 1)
-),
+{_postings("order_line")}),
 """
 
 # Signs, positions and captions of the lines.
@@ -354,6 +359,39 @@ WHERE place <= {WORST}""",
     "bs_year_over_year_formatted": _year_over_year("bs", _ONE_COMPANY, text=True),
 }
 
+# Lines as they were: a cent more, twice, or not there.
+BODIES["journal_reconciled"] = f""",
+then_line AS (
+  SELECT journal_entry_id, c, p, s, n,
+         CASE WHEN p = 1 THEN CAST(amount + 0.01 AS DECIMAL(18, 2)) ELSE amount END AS amount
+  FROM order_line WHERE p <> 3
+  UNION ALL
+  SELECT journal_entry_id, c, p, s, n, amount FROM order_line WHERE p = 2
+),
+then_item AS (
+{_postings("then_line")}),
+owner AS (
+  SELECT account_id, company_id FROM account
+  JOIN statement_section ON statement_section_id = profit_loss_section_id
+  WHERE profit_loss_section_id <> 0
+  UNION
+  SELECT account_id, company_id FROM account
+  JOIN statement_section ON statement_section_id = balance_sheet_section_id
+  WHERE statement_section_order <> 0
+),
+counted AS (
+  SELECT company_id, CAST(year(entry_date) AS INTEGER) AS year, journal_entry_id, account_id,
+         debit, credit, SUM(was) AS was, SUM(now) AS now
+  FROM (SELECT *, 1 AS was, 0 AS now FROM then_item UNION ALL
+        SELECT *, 0, 1 FROM journal_entry_line_item)
+  JOIN journal_entry USING (journal_entry_id) JOIN owner USING (account_id)
+  WHERE cancelled = 0 GROUP BY ALL
+)
+SELECT company_id, year, CAST(SUM(was) AS BIGINT) AS n_stored, CAST(SUM(now) AS BIGINT) AS n_found,
+       CASE WHEN SUM(was) = 0 THEN 'not stored' WHEN SUM(now) = 0 THEN 'not found'
+            WHEN bool_and(was = now) THEN 'same' ELSE 'changed' END AS state
+FROM counted GROUP BY company_id, year
+"""
 
 _IN_YEARS = f"{_KNOWN} AND year IN {YEARS}"
 BODIES["all_reports"] = f"""

@@ -53,6 +53,17 @@ SECTION_BALANCE = {
     "balance": MONEY,
 }
 
+# Number of rows of a company-year, and sums of their hashes by 16 bits each.
+DIGEST = {
+    "company_id": "int",
+    "year": "int",
+    "n_rows": "bigint",
+    "hash_0": "bigint",
+    "hash_1": "bigint",
+    "hash_2": "bigint",
+    "hash_3": "bigint",
+}
+
 
 def ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"{name} {dtype}" for name, dtype in columns.items())

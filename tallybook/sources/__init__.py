@@ -10,9 +10,11 @@ from tallybook.sources.ledger import (
     merge_ledgers,
 )
 from tallybook.sources.mart import (
+    read_digest,
     read_section_balance,
     restate_section_balance,
     save_section_balance,
+    write_digest,
     write_section_balance,
 )
 from tallybook.sources.orders import ledger_from_orders
@@ -36,6 +38,7 @@ __all__ = [
     "ledger_from_tables",
     "merge_ledgers",
     "publish",
+    "read_digest",
     "read_section_balance",
     "read_version",
     "restate_section_balance",
@@ -43,5 +46,6 @@ __all__ = [
     "save_clustered_journal",
     "save_section_balance",
     "version_numbers",
+    "write_digest",
     "write_section_balance",
 ]

@@ -1,4 +1,4 @@
-"""The section-balance table on disk, partitioned by year."""
+"""The section-balance table on disk, partitioned by year, and the digests kept with it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
-from tallybook.schema import SECTION_BALANCE, conform, ddl
+from tallybook.schema import DIGEST, SECTION_BALANCE, conform, ddl
 
 
 def _writer(df: DataFrame) -> DataFrameWriter:
@@ -51,3 +51,13 @@ def restate_section_balance(
     kept = read_section_balance(spark, old_path).where(~F.coalesce(restated, F.lit(False)))
     fresh = conform(fresh, SECTION_BALANCE).where(restated)
     write_section_balance(kept.unionByName(fresh), new_path)
+
+
+def write_digest(digest: DataFrame, path: str) -> None:
+    """Replace the digest at ``path``, a folder beside that of the section balances."""
+    conform(digest, DIGEST).write.mode("overwrite").parquet(path)
+
+
+def read_digest(spark: SparkSession, path: str) -> DataFrame:
+    """A digest as ``write_digest`` left it, to ``reconcile`` with a new one."""
+    return spark.read.schema(ddl(DIGEST)).parquet(path)
