@@ -49,6 +49,21 @@ def live_lines(ledger: Ledger, years: Sequence[int] | None, company_id: int | No
     return lines.withColumn("year", F.expr("year(entry_date)")).drop("entry_date", "cancelled")
 
 
+def joined_lines(
+    ledger: Ledger, years: Sequence[int] | None = None, company_id: int | None = None
+) -> DataFrame:
+    """Lines of live entries with their year, not yet expanded.
+
+    Lines of one company have few accounts, so they stay where they are.
+    """
+    if ledger.headers_on_lines:
+        lines = live_lines(ledger, years, company_id)
+    else:
+        entry = live_entries(ledger, years)
+        lines = ledger.lines_of(company_id).join(entry, list(ledger.entry_keys))
+    return lines if company_id is not None else ledger.gathered(lines)
+
+
 def posted_lines(
     ledger: Ledger, years: Sequence[int] | None = None, company_id: int | None = None
 ) -> DataFrame:
@@ -61,12 +76,7 @@ def posted_lines(
     broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
     execution splits an entry that holds a large share of the lines.
     """
-    if ledger.headers_on_lines:
-        lines = live_lines(ledger, years, company_id)
-    else:
-        entry = live_entries(ledger, years)
-        lines = ledger.lines_of(company_id).join(entry, list(ledger.entry_keys))
-    postings = ledger.postings(lines)
+    postings = ledger.postings(joined_lines(ledger, years, company_id))
     amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})
     return postings.selectExpr("account_id", "year", *casts(amounts))
 

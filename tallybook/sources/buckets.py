@@ -80,5 +80,12 @@ def ledger_from_buckets(
     entry, line = spark.table(entry_table), spark.table(line_table)
     schema.conform(entry, {"part": "int"} | schema.with_stored_flag(entry, schema.JOURNAL_ENTRY))
     return Ledger(
-        rest.account, rest.section, entry, line, rest.expand, rest.line_company, PART_KEYS
+        rest.account,
+        rest.section,
+        entry,
+        line,
+        rest.expand,
+        rest.line_company,
+        PART_KEYS,
+        gather=rest.gather,
     )

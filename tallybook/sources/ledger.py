@@ -27,6 +27,12 @@ class Ledger:
 
     With ``headers_on_lines``, the rows of ``line`` have entry_date and cancelled themselves, as
     ``save_clustered_journal`` writes them. The reports then need no join and do not read ``entry``.
+
+    ``gather`` names a column of ``line``, for journals with so many accounts that a task of the
+    large join meets most of its accounts once: there a partial sum holds a group for almost every
+    posting and saves the shuffle little. Rows that are alike in that column, such as those of a
+    supplier, should post to the same few accounts. The joined rows are then brought together by
+    it, before they are expanded and summed, and tasks hold the sums of few accounts.
     """
 
     account: DataFrame
@@ -37,6 +43,7 @@ class Ledger:
     line_company: str | None = None
     entry_keys: tuple[str, ...] = ("journal_entry_id",)
     headers_on_lines: bool = False
+    gather: str | None = None
 
     def lines_of(self, company_id: int | None) -> DataFrame:
         """The rows of ``line`` that a company may have; all if they do not tell."""
@@ -57,6 +64,10 @@ class Ledger:
         accounts = links.join(sections, "statement_section_id", "left_semi")
         return self.line.join(accounts, "account_id", "left_semi")
 
+    def gathered(self, lines: DataFrame) -> DataFrame:
+        """Joined rows of ``line``, brought together by ``gather``; a hot value has several tasks."""
+        return lines if self.gather is None else lines.hint("rebalance", self.gather)
+
     def postings(self, lines: DataFrame) -> DataFrame:
         return lines if self.expand is None else self.expand(lines)
 
