@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.functions import row
-from tallybook.operators.balances import PL_LINK, live_entries, live_lines, require_ansi
+from tallybook.operators.balances import PL_LINK, joined_lines, require_ansi
 from tallybook.schema import AMOUNT, DIGEST, SECTION_BALANCE, casts, conform, with_amounts
 from tallybook.sources.ledger import Ledger
 
@@ -65,12 +65,7 @@ def journal_digest(
     One pass over the journal: the lines are summed per (account, year) before they meet the
     accounts, as for the balances.
     """
-    if ledger.headers_on_lines:
-        lines = live_lines(ledger, years, company_id)
-    else:
-        entry = live_entries(ledger, years)
-        lines = ledger.lines_of(company_id).join(entry, list(ledger.entry_keys))
-    postings = ledger.postings(lines)
+    postings = ledger.postings(joined_lines(ledger, years, company_id))
     amounts = casts(with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT}))
     columns = ["journal_entry_id", "account_id", "year", "debit", "credit"]
     by_account = _digest(

@@ -20,7 +20,7 @@ LARGE = {
 GATHERED = [
     *("bs_section_balance", "section_balance", "pl_subtotals", "bs_totals", "gross_margin_ratio"),
     *("pl_statement_all", "balance_sheet_all", "balance_check", "balance_check_prefix"),
-    *("all_reports", "section_balance_stored", "section_balance_bucketed"),
+    *("all_reports", "journal_reconciled", "section_balance_stored", "section_balance_bucketed"),
 ]
 
 
@@ -80,6 +80,7 @@ def test_queries_gather_their_lines(spark, many, key, monkeypatch):
         return seen[-1]
 
     monkeypatch.setattr(ops.balances, "joined_lines", spied)
+    monkeypatch.setattr(ops.digest, "joined_lines", spied)
     contract.ledger_queries()[key](spark, many)
     assert seen
     for lines in seen:
