@@ -108,6 +108,22 @@ def signed_debit(chart: Chart, debit: str = "coalesce(debit, 0)") -> str:
     )
 
 
+def with_sections(
+    totals: DataFrame, links: DataFrame, section: DataFrame, shuffled: bool = False
+) -> DataFrame:
+    """Sums of accounts with the sections of ``links``, which has an account and a section a row.
+
+    Spark takes accounts for as small as the files they are derived from, and would broadcast
+    them however many a row of those yields. With ``shuffled``, it broadcasts neither accounts
+    nor sections: they meet first, so that no join of the sums brings those of many accounts to
+    one section, and sums meet them in sort-merge joins, whose tasks hold a partition and spill.
+    """
+    if not shuffled:
+        return totals.join(links, "account_id").join(section, "statement_section_id")
+    linked = links.join(section.hint("merge"), "statement_section_id")
+    return totals.join(linked.hint("merge"), "account_id")
+
+
 def _balances(summed: DataFrame, balance: str) -> DataFrame:
     return summed.selectExpr(*_KEYS, f"CAST({balance} AS {MONEY}) AS balance")
 
@@ -121,10 +137,9 @@ def pl_section_balance(
     account whose P&L link points to a balance-sheet section is carried with flag 1.
     """
     links = ledger.account.selectExpr("account_id", f"{PL_LINK} AS statement_section_id")
+    totals = account_totals(posted_lines(ledger, years))
     summed = (
-        account_totals(posted_lines(ledger, years))
-        .join(links, "account_id")
-        .join(ledger.section, "statement_section_id")
+        with_sections(totals, links, ledger.section, ledger.gather is not None)
         .groupBy(*_KEYS)
         .agg(F.expr("sum(debit) AS debit"))
     )
@@ -136,10 +151,10 @@ def bs_section_balance(ledger: Ledger, years: Sequence[int] | None = None) -> Da
     links = ledger.account.selectExpr(
         "account_id", "balance_sheet_section_id AS statement_section_id"
     )
+    section = ledger.section.where("statement_section_order != 0")
+    totals = account_totals(posted_lines(ledger, years))
     summed = (
-        account_totals(posted_lines(ledger, years))
-        .join(links, "account_id")
-        .join(ledger.section.where("statement_section_order != 0"), "statement_section_id")
+        with_sections(totals, links, section, ledger.gather is not None)
         .groupBy(*_KEYS)
         .agg(F.expr(f"sum({_NET}) AS net"))
     )
@@ -164,19 +179,26 @@ def build_section_balance(
     if company_id is not None:
         section = section.where(f"company_id = {int(company_id)}")
     totals = account_totals(posted_lines(ledger, years, company_id))
-    return balances_of_totals(totals, ledger.account, section, chart)
+    shuffled = company_id is None and ledger.gather is not None
+    return balances_of_totals(totals, ledger.account, section, chart, shuffled)
 
 
 def balances_of_totals(
-    totals: DataFrame, account: DataFrame, section: DataFrame, chart: Chart = STANDARD
+    totals: DataFrame,
+    account: DataFrame,
+    section: DataFrame,
+    chart: Chart = STANDARD,
+    shuffled: bool = False,
 ) -> DataFrame:
-    """Section balances from the debit and credit of every account and year."""
+    """Section balances from the debit and credit of every account and year.
+
+    ``shuffled`` is that of ``with_sections``.
+    """
     pl = row(is_pl="true", statement_section_id=PL_LINK)
     bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
     links = account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
     summed = (
-        totals.join(links, "account_id")
-        .join(section, "statement_section_id")
+        with_sections(totals, links, section, shuffled)
         .where("is_pl OR statement_section_order != 0")
         .groupBy(*_KEYS)
         .agg(

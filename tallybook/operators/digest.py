@@ -40,17 +40,22 @@ def _digest(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
 def _companies(ledger: Ledger, company_id: int | None) -> DataFrame:
     """The companies in whose balances the lines of an account are."""
     section = ledger.section
-    if company_id is not None:
+    # As in with_sections: not broadcast if there are many, whose sums are not those of one company.
+    shuffled = company_id is None and ledger.gather is not None
+    if shuffled:
+        section = section.hint("merge")
+    elif company_id is not None:
         section = section.where(f"company_id = {int(company_id)}")
     pl = row(is_pl="true", statement_section_id=PL_LINK)
     bs = row(is_pl="false", statement_section_id="balance_sheet_section_id")
-    return (
+    companies = (
         ledger.account.selectExpr("account_id", f"inline(array({pl}, {bs}))")
         .join(section, "statement_section_id")
         .where("is_pl OR statement_section_order != 0")
         .select("account_id", "company_id")
         .distinct()
     )
+    return companies.hint("merge") if shuffled else companies
 
 
 def journal_digest(

@@ -97,4 +97,5 @@ def maintained_balances(kept: DataFrame, ledger: Ledger, chart: Chart = STANDARD
     Accounts and sections are those of ``ledger``; its entries and lines are not read.
     """
     totals = kept.select("account_id", "year", "debit", "credit")
-    return balances_of_totals(totals, ledger.account, ledger.section, chart)
+    shuffled = ledger.gather is not None
+    return balances_of_totals(totals, ledger.account, ledger.section, chart, shuffled)

@@ -32,7 +32,8 @@ class Ledger:
     large join meets most of its accounts once: there a partial sum holds a group for almost every
     posting and saves the shuffle little. Rows that are alike in that column, such as those of a
     supplier, should post to the same few accounts. The joined rows are then brought together by
-    it, before they are expanded and summed, and tasks hold the sums of few accounts.
+    it, before they are expanded and summed, and tasks hold the sums of few accounts. Accounts and
+    sections, as many then, are shuffled to the sums and not broadcast.
     """
 
     account: DataFrame

@@ -1,6 +1,9 @@
 """Joined lines brought together before they are summed: where accounts are many, and one is hot."""
 
+import re
 from dataclasses import replace
+from datetime import date
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tallybook import operators as ops
 from tallybook.sources import ledger_from_orders
+from tests.ledgers import Book
 from tests.test_plans import settings
 
 SUPPLIERS, ORDERS, PARTITIONS = 60, 3000, 8
@@ -115,3 +119,45 @@ def test_gathered_or_not_the_results_are_the_same(spark, table, request):
             assert rows(result(ledger)) == rows(result(plain))
         some = {"years": [1993, 1995]}
         assert rows(ops.build_section_balance(ledger, **some)) == rows(ops.build_section_balance(plain, **some))
+
+
+BY_CHART = [key for key in GATHERED if key not in ("journal_reconciled", "section_balance_stored")]
+
+
+@pytest.mark.parametrize("key", BY_CHART)
+def test_accounts_and_sections_are_not_broadcast(spark, many, key):
+    """Spark takes them for as small as the list of suppliers that they are derived from."""
+    plan = contract.ledger_queries()[key](spark, many)._jdf.queryExecution().executedPlan().toString()
+    for name in ("account_id", "statement_section_id"):
+        assert re.search(rf"SortMergeJoin \[{name}#", plan)
+        assert not re.search(rf"BroadcastHashJoin \[{name}#", plan)
+
+
+@pytest.mark.parametrize("result", [ops.pl_section_balance, ops.journal_digest])
+def test_other_sums_do_not_broadcast_them_either(spark, many, result):
+    plan = result(contract._ledger(spark, many))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"SortMergeJoin \[(?:account_id|statement_section_id)#", plan)) == 2
+    assert not re.search(r"BroadcastHashJoin \[(?:account_id|statement_section_id)#", plan)
+
+
+def test_maintained_balances_do_not_broadcast_them(spark, many):
+    ledger = contract._ledger(spark, many)
+    balances = ops.maintained_balances(ops.kept_totals(ledger), ledger)
+    plan = balances._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[(?:account_id|statement_section_id)#", plan)
+
+
+def test_odd_accounts_and_sections_count_as_before(spark):
+    """Accounts and sections that are there twice, link nowhere or to 0, or have no id or order."""
+    account = [(1, 10, 20), (1, 10, 20), (2, 0, 0), (3, None, 20), (4, 10, None)]
+    account += [(None, 10, 20), (5, 99, 99), (6, 20, 10), (7, 30, 30)]
+    section = [(10, 0, 1, 1, "A"), (10, 0, 2, 1, "A"), (20, 1, 1, 4, "B"), (20, 1, 1, 4, "B"), (0, 0, 0, 0, "NONE")]
+    section += [(None, 0, 1, 7, "C"), (30, 1, 1, None, "D")]
+    day = date(2016, 5, 1)
+    entry = [(1, day, 0), (2, day, 1), (3, None, 0), (4, date(2017, 1, 1), 0)]
+    line = [(e, a, D(f"{10 * e}.01"), None if a == 3 else D(a)) for e in (1, 2, 3, 4) for a in (1, 2, 3, 4, 5, 6, 7)]
+    line += [(1, None, D(1), None), (1, 1, None, None)]
+    plain = Book(account, section, entry, line).ledger(spark)
+    ledger = replace(plain, gather="account_id")
+    for result in (ops.build_section_balance, ops.pl_section_balance, ops.bs_section_balance, ops.journal_digest):
+        assert rows(result(ledger)) == rows(result(plain)) != []
