@@ -60,6 +60,8 @@ def joined_lines(
         lines = live_lines(ledger, years, company_id)
     else:
         entry = live_entries(ledger, years)
+        if company_id is None:
+            entry = ledger.hashed(entry)
         lines = ledger.lines_of(company_id).join(entry, list(ledger.entry_keys))
     return lines if company_id is not None else ledger.gathered(lines)
 
@@ -73,8 +75,9 @@ def posted_lines(
     ledger can tell them apart; some may still come.
 
     Neither side of this join has a size bound, so it carries no broadcast hint: Spark
-    broadcasts entries only below its threshold and otherwise sort-merges, where adaptive
-    execution splits an entry that holds a large share of the lines.
+    broadcasts entries only below its threshold and otherwise sort-merges, or hashes the entries
+    of a partition where the ledger gathers lines. In both, adaptive execution splits an entry
+    that holds a large share of the lines.
     """
     postings = ledger.postings(joined_lines(ledger, years, company_id))
     amounts = with_amounts(postings, {"debit": AMOUNT, "credit": AMOUNT})

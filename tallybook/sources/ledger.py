@@ -33,7 +33,8 @@ class Ledger:
     posting and saves the shuffle little. Rows that are alike in that column, such as those of a
     supplier, should post to the same few accounts. The joined rows are then brought together by
     it, before they are expanded and summed, and tasks hold the sums of few accounts. Accounts and
-    sections, as many then, are shuffled to the sums and not broadcast.
+    sections, as many then, are shuffled to the sums and not broadcast. Entries, as many, are hashed
+    by the partition for the large join, see ``hashed``.
     """
 
     account: DataFrame
@@ -65,6 +66,16 @@ class Ledger:
         accounts = links.join(sections, "statement_section_id", "left_semi")
         return self.line.join(accounts, "account_id", "left_semi")
 
+    def hashed(self, entry: DataFrame) -> DataFrame:
+        """Entries for the large join: with ``gather``, each task hashes those of its partition.
+
+        Lines then pass by and are not sorted, which else takes most of a task's memory. A hash
+        table does not spill, but has two or three numbers an entry. Buckets, which no shuffle cuts
+        to size, keep the join that Spark picks.
+        """
+        in_buckets = self.entry_keys != ("journal_entry_id",)
+        return entry if self.gather is None or in_buckets else entry.hint("shuffle_hash")
+
     def gathered(self, lines: DataFrame) -> DataFrame:
         """Joined rows of ``line``, brought together by ``gather``; a hot value has several tasks."""
         return lines if self.gather is None else lines.hint("rebalance", self.gather)

@@ -147,6 +147,52 @@ def test_maintained_balances_do_not_broadcast_them(spark, many):
     assert not re.search(r"BroadcastHashJoin \[(?:account_id|statement_section_id)#", plan)
 
 
+HASHED = [key for key in BY_CHART if key != "section_balance_bucketed"]
+
+
+@pytest.mark.parametrize("key", HASHED)
+def test_lines_are_not_sorted_for_their_entries(spark, many, key):
+    """The sort of the lines is what a task of the large join held; entries are hashed instead."""
+    with settings(spark, LARGE):
+        plan = contract.ledger_queries()[key](spark, many)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ShuffledHashJoin \[journal_entry_id#\d+L\], .*BuildRight", plan)
+    assert not re.search(r"(SortMergeJoin|BroadcastHashJoin) \[journal_entry_id#", plan)
+
+
+def test_lines_of_a_hot_entry_are_dealt_to_several_tasks(spark, hot):
+    """A third of the lines are those of one entry; the tasks that share them hash that one each."""
+    ledger = contract._ledger(spark, hot)
+    third = ledger.line.withColumn("journal_entry_id", F.expr("IF(l_partkey % 3 = 0, 7L, journal_entry_id)"))
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    hashed = replace(ledger, line=third)
+    with settings(spark, LARGE | small):
+        balances = ops.build_section_balance(hashed)
+        got = rows(balances)
+        plan = balances._jdf.queryExecution().executedPlan().toString()
+        assert got == rows(ops.build_section_balance(replace(hashed, gather=None))) != []
+    assert "ShuffledHashJoin(skew=true) [journal_entry_id#" in plan
+
+
+def test_entries_that_are_there_twice_or_have_no_id_count_as_before(spark):
+    day = date(2016, 5, 1)
+    entry = [(1, day, 0), (1, day, 0), (1, date(2017, 5, 1), 0), (2, day, 1), (2, day, 0), (None, day, 0), (3, None, 0)]
+    line = [(e, a, D(f"{e or 9}.01"), D(a)) for e in (None, 1, 1, 2, 3, 4) for a in (1, 2)]
+    account, section = [(1, 10, 20), (2, 10, 20)], [(10, 0, 1, 1, "A"), (20, 1, 1, 4, "B")]
+    plain = Book(account, section, entry, line).ledger(spark)
+    ledger = replace(plain, gather="account_id")
+    for result in (ops.build_section_balance, ops.pl_section_balance, ops.bs_section_balance, ops.journal_digest):
+        assert rows(result(ledger)) == rows(result(plain)) != []
+
+
+def test_lines_of_one_company_meet_entries_as_spark_picks(spark, many):
+    posted = ops.posted_lines(contract._ledger(spark, many), company_id=3)
+    assert "ShuffledHashJoin" not in posted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_accounts_and_sections_count_as_before(spark):
     """Accounts and sections that are there twice, link nowhere or to 0, or have no id or order."""
     account = [(1, 10, 20), (1, 10, 20), (2, 0, 0), (3, None, 20), (4, 10, None)]
